@@ -77,3 +77,26 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         have.add(n.lower())
         out.append(n)
     return out
+
+
+def add_columns(df: DataFrame, inputs: list[str], fields: str, fn) -> DataFrame:
+    """df with columns computed in Arrow batches: fn takes the input columns as lists and returns one list per field.
+
+    All other columns pass through untouched, nulls and integer width included. fields is DDL ("a long, b string");
+    a name that df already has is not allowed (see fresh()).
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = StructType(df.schema.fields + StructType.fromDDL(fields).fields)
+    types = to_arrow_schema(StructType.fromDDL(fields)).types
+    out_names = schema.names
+
+    def run(batches):
+        for batch in batches:
+            made = fn(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs])
+            arrays = [pa.array(v, type=t) for v, t in zip(made, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=out_names)
+
+    return df.mapInArrow(run, schema)

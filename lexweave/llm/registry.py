@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import langid, mixing, quality
 
 QUERIES = {
+    "op1_language_id": langid.op1_language_id,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLES = {
