@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, quality
+from . import gif, html, langid, mixing, quality, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op4_warc": warc.op4_warc,
+    "op6_media_columns": gif.op6_media_columns,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op9_html_text": html.op9_html_text,
     "op10_quality": quality.op10_quality,
 }
 
 ORACLES = {
+    "op4_warc": warc.SQL_OP4,
     "op7_mix_sources": mixing.SQL_OP7,
 }
