@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import gif, html, langid, mixing, quality, warc
+from . import gif, html, langid, mixing, quality, simhash, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op3_simhash": simhash.op3_simhash,
     "op4_warc": warc.op4_warc,
     "op6_media_columns": gif.op6_media_columns,
     "op7_mix_sources": mixing.op7_mix_sources,
