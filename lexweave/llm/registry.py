@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import gif, html, langid, mixing, quality, simhash, warc
+from . import fmindex, gif, html, langid, mixing, quality, simhash, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_warc": warc.op4_warc,
     "op6_media_columns": gif.op6_media_columns,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op8_decontamination": fmindex.op8_decontamination,
     "op9_html_text": html.op9_html_text,
     "op10_quality": quality.op10_quality,
 }
@@ -17,4 +18,5 @@ QUERIES = {
 ORACLES = {
     "op4_warc": warc.SQL_OP4,
     "op7_mix_sources": mixing.SQL_OP7,
+    "op8_decontamination": fmindex.SQL_OP8,
 }
