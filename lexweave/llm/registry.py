@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import fmindex, gif, html, langid, mixing, quality, simhash, warc
+from . import fmindex, gif, html, langid, linedup, mixing, quality, simhash, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op2_line_dedup": linedup.op2_line_dedup,
     "op3_simhash": simhash.op3_simhash,
     "op4_warc": warc.op4_warc,
     "op6_media_columns": gif.op6_media_columns,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_line_dedup": linedup.SQL_OP2,
     "op4_warc": warc.SQL_OP4,
     "op7_mix_sources": mixing.SQL_OP7,
     "op8_decontamination": fmindex.SQL_OP8,
