@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import fmindex, gif, html, langid, linedup, mixing, quality, simhash, warc
+from . import fmindex, gif, html, langid, linedup, mixing, paragraphs, quality, simhash, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op2_line_dedup": linedup.op2_line_dedup,
     "op3_simhash": simhash.op3_simhash,
     "op4_warc": warc.op4_warc,
+    "op5_paragraph_dedup": paragraphs.op5_paragraph_dedup,
     "op6_media_columns": gif.op6_media_columns,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_decontamination": fmindex.op8_decontamination,
