@@ -82,11 +82,14 @@ def record(page_id: int | None, url: str | None, payload: bytes | None, size: in
 
 def parse(data: bytes):
     """Yield (headers, block) of each gzip member; block digests are verified."""
-    at = 0
+    at, view = 0, memoryview(data)
     while at < len(data):
-        z = zlib.decompressobj(31)
-        text = z.decompress(data[at:] if at else data) + z.flush()
-        at = len(data) - len(z.unused_data)
+        z, parts = zlib.decompressobj(31), []
+        while not z.eof and at < len(data):  # by pieces: what is left over is copied
+            parts.append(z.decompress(view[at : at + 8192]))
+            at += min(8192, len(data) - at)
+        at -= len(z.unused_data)
+        text = b"".join(parts)
         head, _, rest = text.partition(b"\r\n\r\n")
         rows = head.decode("utf-8", "surrogatepass").split("\r\n")
         headers = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in rows[1:])
