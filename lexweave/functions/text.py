@@ -8,6 +8,7 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..model import POS_OF_CODE, RESOURCE_ATTRIBUTES
 
@@ -66,7 +67,7 @@ def needs_arrow(c: Column) -> Column:
     return F.coalesce(c.rlike(_mark_tables()[2]), F.lit(False))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_marks_arrow(s):  # noqa: ANN001, ANN201
     return s.map(remove_marks, na_action="ignore")
 
@@ -173,7 +174,7 @@ def xml_id(text: str | None) -> str | None:
     return text if text is None else "".join(c if c.isascii() and c.isalnum() else f"x{ord(c):04X}" for c in text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def xml_id_arrow(s):  # noqa: ANN001, ANN201
     return s.map(xml_id, na_action="ignore")
 

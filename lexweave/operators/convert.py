@@ -9,6 +9,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.text import pos_of, xml_id
 from ..model import CONCEPT_TYPES, SAME_CATEGORY_TYPES, SENSE_TYPES, SOURCE_CONCEPT_PAIRS, SOURCE_SENSE_PAIRS
@@ -16,11 +17,12 @@ from . import relations as rel
 from .ids import first_by
 
 LMF_TAGS = ("LexicalEntry", "ExternalLexicalEntry", "Synset", "ExternalSynset")
-SEQ = F.struct("resource_ord", "element_ord").alias("seq")
+def _seq() -> Column:
+    return F.struct("resource_ord", "element_ord").alias("seq")
 
 
 def _children(elements: DataFrame, tags: tuple[str, ...], path: str) -> DataFrame:
-    rows = elements.filter(F.col("tag").isin(*tags)).select(SEQ, F.col("attrs")["id"].alias("record"), "root", F.posexplode(F.filter("children", lambda c: F.regexp_replace(c["path"], "External", "") == path)).alias("k", "c"), "children")
+    rows = elements.filter(F.col("tag").isin(*tags)).select(_seq(), F.col("attrs")["id"].alias("record"), "root", F.posexplode(F.filter("children", lambda c: F.regexp_replace(c["path"], "External", "") == path)).alias("k", "c"), "children")
     return rows.select("seq", "record", "root", F.col("c.ord").alias("ord"), F.col("c.parent").alias("parent"), F.col("c.attrs").alias("attrs"), F.col("c.text").alias("text"), "children")
 
 
@@ -31,7 +33,7 @@ def concepts(elements: DataFrame, index: DataFrame, keep_index_glosses: bool = T
     counter in document order. glosses: (concept_id, language, text), the first definition; those of indexed concepts
     only if keep_index_glosses. mismatches: (source_pos, index_pos, n).
     """
-    s = elements.filter(F.col("tag") == "Synset").select(SEQ, F.col("attrs")["id"].alias("synset"), F.col("attrs")["ili"].alias("ili"), pos_of(F.col("attrs")["partOfSpeech"]).alias("pos"), "root", "children")
+    s = elements.filter(F.col("tag") == "Synset").select(_seq(), F.col("attrs")["id"].alias("synset"), F.col("attrs")["ili"].alias("ili"), pos_of(F.col("attrs")["partOfSpeech"]).alias("pos"), "root", "children")
     known = index.select(F.concat(F.lit("cili."), F.col("ili")).alias("_concept"), F.col("ili").alias("_ili"), F.col("pos").alias("index_pos"))
     usable = F.coalesce(F.col("ili"), F.lit("")).rlike("^i[0-9]+$")
     s = s.withColumn("ili", F.when(usable, F.col("ili"))).join(known, F.col("ili") == F.col("_ili"), "left")
@@ -46,7 +48,7 @@ def concepts(elements: DataFrame, index: DataFrame, keep_index_glosses: bool = T
     return out.select("synset", "concept_id", "pos", "index_pos", "is_new", "seq", F.col("root")["id"].alias("lexicon")), glosses, differ
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _lexeme_id(head, forms):  # noqa: ANN001, ANN201
     return head.combine(forms, lambda h, fs: f"{h}." + "-".join(xml_id(f) for f in fs))
 
@@ -59,7 +61,7 @@ def lexemes(elements: DataFrame) -> tuple[DataFrame, DataFrame]:
     e = elements.filter(F.col("tag") == "LexicalEntry")
     lemma = F.get(F.filter("children", lambda c: c["path"] == "Lemma"), F.lit(0))["attrs"]
     more = F.transform(F.filter("children", lambda c: (c["path"] == "Form") & c["attrs"]["writtenForm"].isNotNull()), lambda c: c["attrs"]["writtenForm"])
-    rows = e.select(SEQ, F.col("attrs")["id"].alias("entry"), F.col("root")["language"].alias("language"), pos_of(lemma["partOfSpeech"]).alias("pos"), F.array_distinct(F.concat(F.array(lemma["writtenForm"]), more)).alias("forms"))
+    rows = e.select(_seq(), F.col("attrs")["id"].alias("entry"), F.col("root")["language"].alias("language"), pos_of(lemma["partOfSpeech"]).alias("pos"), F.array_distinct(F.concat(F.array(lemma["writtenForm"]), more)).alias("forms"))
     rows = rows.filter(F.col("forms")[0].isNotNull()).withColumn("set", F.array_sort("forms"))
     keys = ["language", "pos", "set"]
     merged = rows.groupBy(*keys).agg(F.min_by("forms", "seq").alias("forms"), F.count("*").alias("n_sources"), F.min("seq").alias("seq"))

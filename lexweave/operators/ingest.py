@@ -16,11 +16,12 @@ from . import graph, post
 from .ids import number
 from .relations import resolve
 
-SEQ = F.struct("resource_ord", "element_ord").alias("seq")
+def _seq() -> Column:
+    return F.struct("resource_ord", "element_ord").alias("seq")
 
 
 def _of(elements: DataFrame, tag: str, **columns: str) -> DataFrame:
-    return elements.filter(F.col("tag") == tag).select(SEQ, *[F.col("attrs")[v].alias(k) for k, v in columns.items()], "text", "spans", "children")
+    return elements.filter(F.col("tag") == tag).select(_seq(), *[F.col("attrs")[v].alias(k) for k, v in columns.items()], "text", "spans", "children")
 
 
 def _arrived(ref: Column, target: Column, mode: str) -> Column:
