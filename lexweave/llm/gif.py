@@ -45,9 +45,8 @@ class Frame:
     height: int
 
 
-def _pack(codes: list[int], widths: np.ndarray) -> bytes:
+def _pack(value: np.ndarray, widths: np.ndarray) -> bytes:
     """Codes as a little-endian bit stream, each with its own width."""
-    value = np.asarray(codes, np.uint32)
     at = np.arange(12, dtype=np.uint32)
     bits = (value[:, None] >> at) & 1
     return np.packbits(bits[at < widths[:, None]].astype(np.uint8), bitorder="little").tobytes()
@@ -61,33 +60,32 @@ def lzw_encode(data: bytes, depth: int = 8) -> bytes:
     # Width of the k-th code after a clear: the reader has one entry less than the codes it has read.
     entries = np.maximum(clear + 1 + np.arange(4096 - clear + 2), clear + 2)
     width_at = np.minimum(12, np.floor(np.log2(np.minimum(entries, 4096))).astype(np.int64) + 1)
-    start, prefix, free = 1, -1, clear + 2
+    # Codes are held shifted, ready to be joined with the next byte.
+    start, free, full, at_clear, none = 1, (clear + 2) << 8, 4096 << 8, clear << 8, None
+    codes[0] = at_clear
     find, put = seen.get, codes.append
-    for b in data:
-        if prefix < 0:
-            prefix = b
-            continue
-        key = prefix << 8 | b
-        code = find(key)
-        if code is not None:
+    prefix = data[0] << 8 if data else -1
+    for b in memoryview(data)[1:]:
+        code = find(prefix | b)
+        if code is not none:
             prefix = code
             continue
         put(prefix)
-        if free < 4096:
-            seen[key] = free
-            free += 1
+        if free < full:
+            seen[prefix | b] = free
+            free += 256
         else:
-            put(clear)
+            put(at_clear)
             widths.append(width_at[: len(codes) - start])
             start = len(codes)
             seen.clear()
-            free = clear + 2
-        prefix = b
+            free = (clear + 2) << 8
+        prefix = b << 8
     if prefix >= 0:
         put(prefix)
-    put(clear + 1)
+    put((clear + 1) << 8)
     widths.append(width_at[: len(codes) - start])
-    return _pack(codes, np.concatenate(widths))
+    return _pack(np.array(codes, np.uint32) >> np.uint32(8), np.concatenate(widths))
 
 
 @cache
@@ -98,60 +96,73 @@ def _schedule(depth: int) -> tuple[np.ndarray, np.ndarray]:
     return widths, np.concatenate(([0], np.cumsum(widths)))
 
 
+def _expand(codes: np.ndarray, clear: int) -> tuple[np.ndarray, bool]:
+    """The samples of the codes after one clear, and whether a code names an entry that is not there yet (they end before it).
+
+    The entry that the j-th code adds is its own output and the sample after it, so a later code that names this entry
+    copies from the j-th code's output on. Lengths and samples are found by following such links, doubling each time.
+    """
+    at = np.arange(len(codes))
+    literal = codes < clear
+    up = np.where(literal, at, codes.astype(np.int64) - (clear + 2))
+    broken = np.flatnonzero(~literal & ((up >= at) | (up < 0)))
+    if len(broken):
+        n = broken[0]
+        codes, at, literal, up = codes[:n], at[:n], literal[:n], up[:n]
+    hops, to = (~literal).astype(np.int64), up
+    while not literal[to].all():
+        hops, to = hops + hops[to], to[to]
+    lengths = hops + 1
+    starts = np.cumsum(lengths) - lengths
+    shift = starts - starts[up]
+    source = np.arange(int(lengths.sum())) - np.repeat(shift, lengths)
+    values = np.zeros(len(source), np.uint8)
+    values[starts[literal]] = codes[literal]
+    while True:
+        further = source[source]
+        if np.array_equal(further, source):
+            return values[source], len(broken) > 0
+        source = further
+
+
 def lzw_decode(stream: bytes, depth: int, size: int) -> bytes:
     """At most size samples of an LZW code stream; stops at the end code or at a broken code.
 
-    Code widths depend only on the number of codes since the last clear, so a stretch of codes is cut out of the bits
-    at once; only the expansion of the dictionary goes code by code.
+    Code widths depend only on the number of codes since the last clear, so a stretch of codes is cut out of the bits at
+    once.
     """
     clear = 1 << depth
-    end = clear + 1
-    roots = [bytes([i]) for i in range(clear)] + [b"", b""]
     by = np.frombuffer(stream + b"\0\0\0\0", np.uint8).astype(np.uint32)
-    total, bit = 8 * len(stream), 0
+    total, bit, made = 8 * len(stream), 0, 0
+    out: list[np.ndarray] = []
     widths, offsets = _schedule(depth)
-    full = np.full(4200, 12, np.int64), np.arange(4201) * 12
-    out: list[bytes] = []
-    made, entries, last, is_full = 0, roots[:], b"", False
     while made < size and bit < total:
-        w, o = full if is_full else (widths, offsets)
-        n = int(np.searchsorted(o[1:], total - bit, "right"))
-        if not n:
-            break
-        at = bit + o[:n]
-        low = at >> 3
-        codes = ((by[low] | by[low + 1] << np.uint32(8) | by[low + 2] << np.uint32(16)) >> (at & 7).astype(np.uint32)) & ((1 << w[:n]) - 1).astype(np.uint32)
-        stops = np.flatnonzero((codes == clear) | (codes == end))
-        stop = int(stops[0]) if len(stops) else n
-        put, grow = out.append, entries.append
-        room = 4096 - len(entries)
-        broken = False
-        for code in codes[:stop].tolist():
-            try:
-                piece = entries[code]
-                if last and room > 0:
-                    grow(last + piece[:1])
-                    room -= 1
-            except IndexError:
-                if code != len(entries) or not last:
-                    broken = True
-                    break
-                piece = last + last[:1]
-                if room > 0:
-                    grow(piece)
-                    room -= 1
-            put(piece)
+        parts, ended = [], False
+        w, o = widths, offsets
+        while bit < total:
+            n = int(np.searchsorted(o[1:], total - bit, "right"))
+            at = bit + o[:n]
+            low = at >> 3
+            codes = ((by[low] | by[low + 1] << np.uint32(8) | by[low + 2] << np.uint32(16)) >> (at & 7).astype(np.uint32)) & ((1 << w[:n]) - 1).astype(np.uint32)
+            stops = np.flatnonzero((codes == clear) | (codes == clear + 1))
+            stop = int(stops[0]) if len(stops) else n
+            parts.append(codes[:stop])
+            if stop < n:
+                ended = codes[stop] == clear + 1
+                bit += int(o[stop + 1])
+                break
+            bit = total if n < len(w) else bit + int(o[n])
+            # No clear came: the table is full and codes stay 12 bits wide.
+            w, o = np.full(4200, 12, np.int64), np.arange(4201) * 12
+        codes = np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.zeros(0, np.uint32)
+        if len(codes):
+            piece, broken = _expand(codes, clear)
+            out.append(piece)
             made += len(piece)
-            last = piece
-        if broken or made >= size or (stop < n and codes[stop] == end):
+            ended = ended or broken
+        if ended:
             break
-        if stop < n:
-            bit += int(o[stop + 1])
-            entries, last, is_full = roots[:], b"", False
-        else:
-            bit += int(o[n])
-            is_full = True
-    return b"".join(out)[:size]
+    return np.concatenate(out).tobytes()[:size] if out else b""
 
 
 def _sub_blocks(data: bytes) -> bytes:
@@ -241,8 +252,11 @@ def decode(media: bytes):
         before = canvas.copy() if disposal == 3 else None
         box = canvas[top : top + h, left : left + w]
         visible = drawn[: box.shape[0], : box.shape[1]]
-        box[visible, :3] = colours[index[: box.shape[0], : box.shape[1]][visible]]
-        box[visible, 3] = 255
+        shown = np.concatenate((colours, np.full((256, 1), 255, np.uint8)), 1)[index[: box.shape[0], : box.shape[1]]]
+        if visible.all():
+            box[:] = shown
+        else:
+            box[visible] = shown[visible]
         yield Frame(delay, canvas.copy(), left, top, w, h)
         if disposal == 2:
             box[:] = 0
@@ -258,8 +272,9 @@ def samples(frames: list[Frame]) -> bytes:
 
 def histogram(frame: Frame, bins: int = 8) -> list[int]:
     """Visible pixels by red, green and blue level: 3 x bins counts."""
-    seen = frame.canvas[frame.canvas[..., 3] > 0]
-    return [int(n) for channel in range(3) for n in np.bincount(seen[:, channel] // (256 // bins), minlength=bins)]
+    seen = frame.canvas[..., 3] > 0
+    shown = frame.canvas.reshape(-1, 4) if seen.all() else frame.canvas[seen]
+    return [int(n) for channel in range(3) for n in np.bincount(shown[:, channel], minlength=256).reshape(bins, -1).sum(1)]
 
 
 def pad(text: str | None) -> tuple[int, bytes]:
@@ -302,21 +317,27 @@ def decode_column(df: DataFrame, column: str = "media") -> DataFrame:
     return add_columns(df, [column], f"`{payload}` binary, `{frames}` {FRAME_DDL}", run)
 
 
-def digests(df: DataFrame) -> DataFrame:
-    """The digest columns of decoded media."""
+def digests(df: DataFrame, column: str = "media") -> DataFrame:
+    """Sizes, digests and a feature of what a media column decodes to; null for no GIF."""
 
-    def run(media, payload, frames):
+    def run(media):
         out = [[], [], [], [], [], []]
-        for m, p, f in zip(media, payload, frames, strict=True):
-            hist = np.sum([x["histogram"] for x in f], axis=0)
-            row = (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(m), hashlib.sha256(m).hexdigest(), f"frames={len(f)};cs={sum(x['delay_cs'] for x in f)};hist=" + ",".join(map(str, hist)))
-            for column, value in zip(out, row, strict=True):
-                column.append(value)
+        for m in media:
+            try:
+                frames = list(decode(m or b""))
+            except ValueError:
+                row = (None,) * 6
+            else:
+                p, hist = samples(frames), np.sum([histogram(f) for f in frames], axis=0)
+                feature = f"frames={len(frames)};cs={sum(f.delay for f in frames)};hist=" + ",".join(map(str, hist))
+                row = (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature)
+            for made, value in zip(out, row, strict=True):
+                made.append(value)
         return out
 
-    return add_columns(df, ["media", "payload", "frames"], "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string", run)
+    return add_columns(df, [column], "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string", run)
 
 
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(decode_column(encode_column(docs))).drop("text", "media", "payload", "frames")
+    return digests(encode_column(docs)).drop("text", "media")
