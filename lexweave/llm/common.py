@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch, shared_dir
+
+__all__ = ["SPACE", "Scratch", "add_columns", "bounded_batches", "fresh", "held_out", "shared_dir", "table", "word_count"]
+
 #: Characters between words where a contract speaks of `[^\x20\x09-\x0D]+`.
 SPACE = r"\x20\x09-\x0D"
 
@@ -28,43 +29,15 @@ def word_count(text: str | Column) -> Column:
     return F.when(flat.isNull() | (flat == ""), F.lit(0)).otherwise(F.size(F.split(flat, " +"))).cast("long")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if known.isDefined():
-            return known.get()
-        at = tempfile.mkdtemp(prefix="lexweave-")
-        spark.sparkContext.setCheckpointDir(at)
-        at = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return at
-
-
-class Scratch:
-    """Parquet tables in the shared folder that cut lineage: a lost executor costs no recomputation of earlier rounds."""
-
-    def __init__(self, spark: SparkSession, what: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-        self.count = 0
-
-    def cut(self, df: DataFrame) -> DataFrame:
-        """Write df and give back the written table."""
-        self.count += 1
-        at = f"{self.root}/{self.count:03d}"
-        df.write.parquet(at)
-        back = self.spark.read.schema(df.schema).parquet(at)
-        back._scratch = at
-        return back
-
-    def drop(self, df: DataFrame | None) -> None:
-        """Delete a table that no later step reads."""
-        at = getattr(df, "_scratch", None)
-        if at:
-            jvm = self.spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(at)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+#: Rows of an Arrow batch where the session does not say: whole texts must fit in memory several times over.
+BATCH_ROWS = 512
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of texts small, unless the session has its own setting."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) in (None, "10000"):
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -89,6 +62,7 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, fn) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    bounded_batches(df.sparkSession)
     schema = StructType(df.schema.fields + StructType.fromDDL(fields).fields)
     types = to_arrow_schema(StructType.fromDDL(fields)).types
     out_names = schema.names

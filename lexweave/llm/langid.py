@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, fresh, held_out, table
+from .common import add_columns, bounded_batches, fresh, held_out, table
 
 BUCKETS = 1 << 16
 DOCS_PER_LANG = 2000
@@ -62,6 +62,7 @@ def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> tuple[list[str],
 
     What reaches the driver is bounded by languages x BUCKETS counts, whatever the input's size.
     """
+    bounded_batches(docs.sparkSession)
     known = docs.filter(F.col("lang").isNotNull() & ~held_out())
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)

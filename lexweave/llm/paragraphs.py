@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, fresh, table
+from .common import Scratch, bounded_batches, fresh, table
 from .components import components
 
 MIN_WORDS = 25
@@ -118,6 +118,7 @@ def paragraph_table(docs: DataFrame) -> DataFrame:
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * BANDS, pa.int32()), pa.array(bands.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([d.take(rows), h.take(rows), pa.array([k for _, k, _ in found], pa.int32()), pa.array(ids), listed], names=["d", "h", "line", "id", "bands"])
 
+    bounded_batches(docs.sparkSession)
     source = docs.filter(F.col("text").isNotNull()).select(_doc().alias("d"), F.xxhash64("text").alias("h"), "text")
     return source.mapInArrow(run, "d long, h long, line int, id long, bands array<long>")
 
