@@ -133,7 +133,7 @@ def grow(text: Column, start: Column, end: Column) -> tuple[Column, Column]:
 
 def gapped_match(text: str, form: str, slack: int = 2) -> tuple[int, int] | None:
     """Span of the words of a multi-word form in order within a window of n + slack tokens; whole tokens, any case."""
-    tokens = [(m.start(), m.end(), m[0].strip(BOUNDARIES).lower()) for m in re.finditer(r"\S+", text)]
+    tokens = [(m.start(), m.start() + len(m[0].rstrip(BOUNDARIES)), m[0].strip(BOUNDARIES).lower()) for m in re.finditer(r"\S+", text)]
     words = form.lower().split()
     for i in range(len(tokens)):
         k, last = 0, i

@@ -104,8 +104,9 @@ def export_lines(lex: Lexicon, with_provenance: bool = True) -> DataFrame:
 
     from ..model import SENSE_TYPES
 
-    forward = tuple(k for k, v in CONCEPT_INVERSES.items() if k != v)
-    concepts = relation(lex.synset_relations, y, "ConceptRelation", 7, "synset_relations", forward, ("antonym", "similar", "eq_synonym"))
+    # Types without a stored inverse are written as they are; those that are their own inverse once a pair.
+    forward = (*(k for k, v in CONCEPT_INVERSES.items() if k != v), "similar", "eq_synonym")
+    concepts = relation(lex.synset_relations, y, "ConceptRelation", 7, "synset_relations", forward, ("antonym",))
     senses = relation(lex.sense_relations, s, "SenseRelation", 6, "sense_relations", ("none",), SENSE_TYPES)
     out = concept
     for part in (gloss, lexeme, sense, example, senses, concepts):
