@@ -287,27 +287,45 @@ def remove_spans(text: str, hit: np.ndarray) -> str:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs with the hit spans cut out of text, again until none is left; a document of which no word is left goes."""
-    found = find(spark, docs, benchmark)
-    size, hits, items = found.columns[-3:]
-    phrases = [spark.sparkContext.broadcast(Phrases(b)) for b in blocks(benchmark)]
+    """docs with the hit spans cut out of text, again until none is left; a document of which no word is left goes.
 
-    def run(texts, hit):
-        out = [[], []]
-        for text, h in zip(texts, hit, strict=True):
-            while text and len(h):
-                text = remove_spans(text, h)
-                # What now stands side by side may make a new window.
-                words = words_of(text)
-                h = np.unique(np.concatenate([search([words], p.value)[0][0] for p in phrases]))
-            out[0].append(text)
-            out[1].append(bool(words_of(text)))
+    The benchmark's blocks are broadcast together here, so that what one removal brings side by side is searched for all
+    windows before the text is done.
+    """
+    phrases = [spark.sparkContext.broadcast(Phrases(b)) for b in blocks(benchmark)]
+    clean, left = fresh(docs, "clean_text", "words_left")
+
+    def cut(texts):
+        """One shard: hits of all blocks, then removals, then the changed texts again."""
+        texts, todo, hit_ever = list(texts), list(range(len(texts))), set()
+        while todo:
+            words = [words_of(texts[i]) for i in todo]
+            hits = [search(words, p.value) for p in phrases]
+            again = []
+            for k, i in enumerate(todo):
+                h = np.unique(np.concatenate([x[k][0] for x in hits])) if hits else ()
+                if len(h):
+                    texts[i] = remove_spans(texts[i], h)
+                    hit_ever.add(i)
+                    again.append(i)
+            todo = again
+        return texts, [i not in hit_ever or bool(words_of(t)) for i, t in enumerate(texts)]
+
+    def run(texts):
+        out, shard, held = [[], []], [], 0
+        for text in texts:
+            shard.append(text)
+            held += len(text or "") // 5
+            if held >= SHARD_TOKENS:
+                for column, values in zip(out, cut(shard), strict=True):
+                    column += values
+                shard, held = [], 0
+        for column, values in zip(out, cut(shard), strict=True):
+            column += values
         return out
 
-    clean, left = fresh(found, "clean_text", "words_left")
-    cut = add_columns(found, ["text", hits], f"`{clean}` string, `{left}` boolean", run)
-    kept = cut.filter((F.size(hits) == 0) | F.col(left))
-    return kept.select(*[F.col(clean).alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    done = add_columns(docs, ["text"], f"`{clean}` string, `{left}` boolean", run).filter(F.col(left))
+    return done.select(*[F.col(clean).alias("text") if c == "text" else F.col(c) for c in docs.columns])
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
