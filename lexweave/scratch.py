@@ -32,7 +32,8 @@ class Scratch:
         """Write df and give back the written table."""
         self.count += 1
         at = f"{self.root}/{self.count:03d}"
-        df.write.parquet(at)
+        # Zstandard works in heap buffers; the default codec leaves direct ones behind for each file until a full collection.
+        df.write.option("compression", "zstd").parquet(at)
         back = self.spark.read.schema(df.schema).parquet(at)
         back._scratch = at
         return back
