@@ -51,7 +51,6 @@ IMPLICIT_RESOURCES = {
 CILI = {
     "code": "cili", "version": "1.0", "label": "Collaborative Interlingual Index (CILI)", "url": "https://github.com/globalwordnet/cili",
     "licence": "https://creativecommons.org/licenses/by/4.0/",
-    "citation": "Francis Bond, Piek Vossen, John McCrae, and Christiane Fellbaum. 2016. CILI: the Collaborative Interlingual Index. In *Proceedings of the 8th Global WordNet Conference (GWC)*, pages 50–57, Bucharest, Romania. Global Wordnet Association.",
 }
 
 SCHEMAS = {

@@ -12,8 +12,8 @@ from ..model import CILI, IMPLICIT_RESOURCES, SCHEMAS, Lexicon
 
 
 def lemmas(forms: DataFrame) -> DataFrame:
-    """(entry_id, lemma): the first-ranked form of each entry, once."""
-    return forms.filter("rank = 0").groupBy("entry_id").agg(F.min_by("form", "id").alias("lemma"))
+    """(entry_id, lemma): the first-ranked form of each entry, once; a form copied by a merge (negative id) comes last."""
+    return forms.filter("rank = 0").groupBy("entry_id").agg(F.min_by("form", F.struct(F.col("id") < 0, "id")).alias("lemma"))
 
 
 def variant_senses(lex: Lexicon) -> DataFrame:
@@ -127,7 +127,7 @@ def coverage(provenance: DataFrame, senses: DataFrame) -> DataFrame:
     return p.join(s, "item_id", "left").groupBy("code").agg(F.count("*").alias("sense_count"), F.countDistinct("synset_id").alias("synset_count"), F.count("synset_id").alias("live_senses"))
 
 
-def resource_table(spark: SparkSession, roots: DataFrame, lex: Lexicon) -> DataFrame:
+def resource_table(spark: SparkSession, roots: DataFrame, lex: Lexicon, index_citation: str | None = None) -> DataFrame:
     """Resource rows from root attributes (ord, root map): the first file of an id wins, codes known only from provenance
     get implicit metadata, counts come from provenance, and the interlingual index has its own canonical row."""
     first = roots.filter(F.col("root")["id"].isNotNull()).groupBy(F.col("root")["id"].alias("code")).agg(F.min_by("root", "ord").alias("root"))
@@ -142,7 +142,7 @@ def resource_table(spark: SparkSession, roots: DataFrame, lex: Lexicon) -> DataF
     implied = implied.select("code", *[meta(k).alias(k) for k in ("version", "label", "language", "url", "citation", "licence")])
     both = stated.unionByName(implied, allowMissingColumns=True).filter(F.col("code") != CILI["code"])
     both = both.join(coverage(lex.provenance, lex.senses).drop("live_senses"), "code", "left")
-    index = lex.synsets.agg(F.count("ili").alias("synset_count")).select(*[F.lit(v).alias(k) for k, v in CILI.items()], "synset_count")
+    index = lex.synsets.agg(F.count("ili").alias("synset_count")).select(*[F.lit(v).alias(k) for k, v in CILI.items()], F.lit(index_citation).cast("string").alias("citation"), "synset_count")
     columns = [c.split()[0] for c in SCHEMAS["resources"].split(", ")]
     return both.unionByName(index, allowMissingColumns=True).select(*columns)
 

@@ -15,7 +15,7 @@ from ..model import Lexicon
 def star(lex: Lexicon, forms: DataFrame | None = None) -> DataFrame:
     """forms - entries - languages - senses - synsets, one row per form and sense. A filtered forms table keeps its filter
     at the scan; languages is a dimension that Spark broadcasts by its size."""
-    f = (forms if forms is not None else lex.forms).select(F.col("entry_id"), "form", "norm", "rank")
+    f = (forms if forms is not None else lex.forms).select(F.col("id").alias("form_id"), "entry_id", "form", "norm", "rank")
     e = lex.entries.select(F.col("id").alias("entry_id"), "language_id")
     g = lex.languages.select(F.col("id").alias("language_id"), F.col("code").alias("language"))
     s = lex.senses.select(F.col("id").alias("sense_id"), "entry_id", "synset_id", "sense_index")
@@ -29,6 +29,12 @@ def definitions_in(lex: Lexicon, language: str) -> DataFrame:
     return lex.definitions.join(g, "language_id", "left_semi").select("synset_id", "definition")
 
 
+def one_per_sense(rows: DataFrame) -> DataFrame:
+    """Rows of star() reduced to each sense's first form; a form copied by a merge (negative id) comes last."""
+    keys = ["synset_id", "sense_id", "language", "pos", "ili", "sense_index"]
+    return rows.groupBy(*keys).agg(F.min_by("form", F.struct(F.col("form_id") < 0, "form_id")).alias("form"))
+
+
 COLUMNS = ["form", "language", "pos", "ili", "sense_index", "sense_id", "synset_id", "definition"]
 
 
@@ -60,14 +66,14 @@ def glob_forms(lex: Lexicon, pattern: str, language: str | None = None) -> DataF
 def by_ili(lex: Lexicon, ili: str, languages: list[str] | None = None, definition_language: str = "en") -> DataFrame:
     value = ili.removeprefix("cili.")
     hit = lex.with_(synsets=lex.synsets.filter(F.col("ili") == value))
-    lemma = star(hit, lex.forms.filter("rank = 0"))
+    lemma = one_per_sense(star(hit, lex.forms.filter("rank = 0")))
     return with_definition(lex, in_languages(lemma, languages), definition_language)
 
 
 def by_definition(lex: Lexicon, part: str, languages: list[str] | None = None, definition_language: str = "en") -> DataFrame:
     """Senses of any language whose concept has a definition, in any language, that contains part."""
     hits = lex.definitions.filter(contains_ascii(F.col("definition"), part)).select(F.col("synset_id").alias("id")).distinct()
-    found = star(lex.with_(synsets=lex.synsets.join(hits, "id", "left_semi")), lex.forms.filter("rank = 0"))
+    found = one_per_sense(star(lex.with_(synsets=lex.synsets.join(hits, "id", "left_semi")), lex.forms.filter("rank = 0")))
     return with_definition(lex, in_languages(found, languages), definition_language)
 
 

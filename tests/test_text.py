@@ -67,5 +67,5 @@ def test_small_functions(spark):
     assert one(T.package_version, "https://x/v2.1/own.xml") == "2.1" and one(T.resource_code, "oewn-2024_1.0") == "oewn"
     assert one(T.licence_label, "https://creativecommons.org/licenses/by/4.0/") == "CC BY" and one(T.licence_label, None) == "N/A"
     assert one(T.thousands, "1234567") == "1,234,567" and one(T.thousands, None) == "---"
-    assert one(T.citation_html, "Bond. `Site <http://x>`_. In *Proc*.") == 'Bond. <a href="http://x">Site</a>. In <em>Proc</em>.'
+    assert one(T.citation_html, "Doe. `Site <http://x>`_. In *Proc*.") == 'Doe. <a href="http://x">Site</a>. In <em>Proc</em>.'
     assert one(lambda c: T.contains_ascii(c, "A%_"), "xa%_y") and not one(lambda c: T.contains_ascii(c, "a%"), "abc")
