@@ -133,7 +133,9 @@ def build(spark: SparkSession, elements: DataFrame, mode: str = "arrival", clean
         lex, _ = post.merge_case_variants(lex)
         lex = post.remove_orphans(post.cascade_delete(lex))
         lex = lex.with_(senses=post.sense_indices(lex))
-    return lex.with_(resources=post.resource_table(spark, logs["roots"], lex)), logs
+    # Searches read written tables, not the whole merge again.
+    lex = Lexicon({name: scratch.cut(df) for name, df in lex.tables.items()})
+    return lex.with_(resources=scratch.cut(post.resource_table(spark, logs["roots"], lex))), logs
 
 
 def fold(spark: SparkSession, relations: DataFrame, inverses: dict[str, str], scratch: Scratch, remove_cycles: bool):
