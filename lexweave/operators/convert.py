@@ -156,6 +156,8 @@ def match_examples(spark: SparkSession, pairs: DataFrame, analyse=None) -> DataF
     first = substring_match(pairs)
     a, b = grow(F.col("text"), F.col("start"), F.col("end"))
     first = first.select("example_id", "sense_id", "form", a.cast("int").alias("start"), b.cast("int").alias("end"), F.lit("substring").alias("strategy"))
+    named = dict(pairs.dtypes)["sense_id"] == "string"
+    key = "string" if named else "long"
     rest = pairs.join(first.select("example_id"), "example_id", "left_anti").filter(F.lit(True) if analyse else F.col("form").contains(" "))
 
     def run(batches):
@@ -169,10 +171,10 @@ def match_examples(spark: SparkSession, pairs: DataFrame, analyse=None) -> DataF
                     span, how = analyse(text, form), "analyser"
                 if span:
                     out.append((ex, sense, form, span[0], span[1], how, order))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32())
+            kinds = (pa.int64(), pa.string() if named else pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["example_id", "sense_id", "form", "start", "end", "strategy", "ord"])
 
-    found = rest.select(F.col("example_id").cast("long"), "text", F.col("sense_id").cast("long"), "form", F.col("ord").cast("int")).mapInArrow(run, "example_id long, sense_id long, form string, start int, end int, strategy string, ord int")
+    found = rest.select(F.col("example_id").cast("long"), "text", F.col("sense_id").cast(key), "form", F.col("ord").cast("int")).mapInArrow(run, f"example_id long, sense_id {key}, form string, start int, end int, strategy string, ord int")
     best = found.groupBy("example_id").agg(F.min_by(F.struct("sense_id", "form", "start", "end", "strategy"), F.struct((F.col("strategy") == "analyser").alias("late"), -F.length("form"), "ord")).alias("x")).select("example_id", "x.*")
     return first.unionByName(best)
 
@@ -237,3 +239,123 @@ def translate_pending(glosses: DataFrame, done: DataFrame, translate) -> DataFra
 
     return pending.mapInArrow(run, "id long, language string, text string, translated string").filter("translated IS NOT NULL")
 
+
+
+# ---- a whole source ----
+
+
+def _children_of(*provenance: Column) -> Column:
+    return F.array(*provenance)
+
+
+def _child(path: str, order: Column | int, attrs: Column, parent: Column | int = -1, text: Column | None = None) -> Column:
+    lit = lambda x: F.lit(x) if isinstance(x, int) else x
+    return F.struct(F.lit(path).alias("path"), lit(order).cast("int").alias("ord"), lit(parent).cast("int").alias("parent"), attrs.alias("attrs"), (F.lit(None).cast("string") if text is None else text).alias("text"))
+
+
+def _provenance(root: Column, original: Column | None = None, order: Column | int = 0) -> Column:
+    pairs = [F.lit("resource"), root["id"], F.lit("version"), F.coalesce(root["version"], F.lit(""))]
+    return _child("Provenance", order, F.create_map(*pairs, *([F.lit("original_id"), original] if original is not None else [])))
+
+
+SPANS = "array<struct<start:int,end:int,sense:string>>"
+
+
+def _record(df: DataFrame, layer: int, tag: str, attrs: dict[str, Column], children: Column, text: Column | None = None, spans: Column | None = None) -> DataFrame:
+    """Records in the form of sources.xml.read: layers in the order in which a merge needs them, then document order."""
+    pairs = [x for k, v in attrs.items() for x in (F.lit(k), v)]
+    return df.select(
+        F.col("seq.resource_ord").alias("resource_ord"), (F.lit(layer << 50).cast("long") + F.col("seq.element_ord") * 4096 + F.coalesce(F.col("sub"), F.lit(0))).alias("element_ord"), F.lit(tag).alias("tag"),
+        F.create_map(*pairs).alias("attrs"), "root", (F.lit(None).cast("string") if text is None else text).alias("text"), (F.array().cast(SPANS) if spans is None else spans.cast(SPANS)).alias("spans"), children.alias("children"),
+    )
+
+
+def as_elements(spark: SparkSession, elements: DataFrame, index: DataFrame, existing: DataFrame | None = None, keep_index_glosses: bool = True, analyse=None) -> tuple[DataFrame, DataFrame]:
+    """(records, log) of source wordnets: records go straight to ingest.build, without an XML file in between.
+
+    index: (ili, pos) of the interlingual index; existing: relations that an earlier source already has. log: (metric, key, n).
+    """
+    roots = elements.groupBy(F.col("resource_ord").alias("_ord")).agg(F.min_by("root", "element_ord").alias("root"))
+    rooted = lambda df: df.join(roots, F.col("seq.resource_ord") == F.col("_ord")) if "root" not in df.columns else df
+    table, _, differ = concepts(elements, index, keep_index_glosses)
+    source = elements.filter(F.col("tag") == "Synset").select(_seq(), "root", "children").join(table.withColumnRenamed("seq", "_seq"), F.col("seq") == F.col("_seq"))
+    source = source.withColumn("sub", F.lit(0))
+    new = source.filter("is_new")
+    out = _record(new, 1, "Concept", {"id": F.col("concept_id"), "ontological_category": F.col("pos")}, _children_of(_provenance(F.col("root"), F.col("synset"))))
+    first = F.get(F.filter("children", lambda c: c["path"] == "Definition"), F.lit(0))["text"]
+    glossed = source.withColumn("_text", first).filter(F.col("_text").isNotNull() & (F.col("is_new") | F.lit(keep_index_glosses)))
+    out = out.unionByName(_record(glossed, 2, "Gloss", {"definiendum": F.col("concept_id"), "language": F.col("root")["language"]}, _children_of(_provenance(F.col("root"))), F.col("_text")))
+    lexeme_table, of = lexemes(elements)
+    forms = F.transform("forms", lambda f, k: _child("Wordform", k, F.create_map(F.lit("form"), f)))
+    lex = rooted(lexeme_table).withColumn("sub", F.lit(0))
+    out = out.unionByName(_record(lex, 3, "Lexeme", {"id": F.col("lexeme_id"), "language": F.col("language"), "grammatical_category": F.col("pos")}, F.concat(forms, F.array(_provenance(F.col("root"), order=F.size("forms"))))))
+    all_senses, unresolved = senses(elements, of, table)
+    kept = rooted(kept_senses(all_senses)).withColumn("sub", F.col("ord"))
+    out = out.unionByName(_record(kept, 4, "Sense", {"id": F.col("sense_id"), "signifier": F.col("lexeme_id"), "signified": F.col("concept_id")}, _children_of(_provenance(F.col("root"), F.col("sense")))))
+    between, mismatches = concept_relations(elements, table, existing)
+    lexical = sense_relations(elements, all_senses)
+    # A relation has no place of its own in the document: it belongs to its source's resource, ordered by its ends.
+    places = table.groupBy("concept_id").agg(F.min("seq").alias("seq"))
+    for layer, tag, rel_table, place in ((7, "ConceptRelation", between, places), (6, "SenseRelation", lexical, kept.groupBy(F.col("sense_id").alias("concept_id")).agg(F.min("seq").alias("seq")))):
+        r = rooted(rel_table.join(place, F.col("source") == F.col("concept_id"))).withColumn("sub", F.pmod(F.xxhash64("type", "target"), F.lit(4096)))
+        out = out.unionByName(_record(r, layer, tag, {"relation_type": F.col("type"), "source": F.col("source"), "target": F.col("target")}, _children_of(_provenance(F.col("root")))))
+    pairs = example_candidates(elements, all_senses, lexeme_table, table)
+    matched = match_examples(spark, pairs.select("example_id", "text", "sense_id", "form", "ord"), analyse)
+    texts = pairs.groupBy("example_id").agg(F.first("text").alias("text"), F.min("seq").alias("seq"), F.min("sub").alias("sub"))
+    shown = rooted(matched.join(texts, "example_id"))
+    spans = F.array(F.struct(F.col("start"), F.col("end"), F.col("sense_id").alias("sense")))
+    example = shown.withColumn("_spans", spans).withColumn("_text", F.col("text")).drop("text", "start", "end")
+    out = out.unionByName(_record(example, 5, "Example", {"id": F.col("example_id").cast("string")}, _children_of(_provenance(F.col("root"))), F.col("_text"), F.col("_spans")))
+    one = lambda name, df: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("metric"), F.lit("").alias("key"), "n")
+    log = differ.select(F.lit("pos_mismatch_concept").alias("metric"), F.concat_ws(">", "source_pos", "index_pos").alias("key"), "n")
+    log = log.unionByName(mismatches.select(F.lit("category_mismatch").alias("metric"), F.col("type").alias("key"), F.col("mismatched").alias("n")))
+    log = log.unionByName(one("unresolved_synset", unresolved)).unionByName(one("missing_ili", table.filter("is_new")))
+    done = example_log(pairs, matched)
+    log = log.unionByName(done.select(F.lit("included_example").alias("metric"), F.lit("").alias("key"), F.col("included").alias("n"))).unionByName(done.select(F.lit("unmatched_example").alias("metric"), F.lit("").alias("key"), F.col("excluded").alias("n")))
+    return out, log
+
+
+def example_candidates(elements: DataFrame, all_senses: DataFrame, lexeme_table: DataFrame, concept_table: DataFrame) -> DataFrame:
+    """(example_id, text, sense_id, form, ord, seq, sub): for an example of a sense its lexeme's forms, for one of a synset
+    those of all its senses."""
+    ident = F.shiftleft(F.col("seq.resource_ord").cast("long"), 48) + F.col("seq.element_ord") * 1024 + F.col("sub")
+    own = _children(elements, ("LexicalEntry", "ExternalLexicalEntry"), "Sense/Example")
+    own = own.select("seq", F.col("ord").alias("sub"), "text", F.element_at("children", F.col("parent") + 1)["attrs"]["id"].alias("sense")).filter("text IS NOT NULL")
+    own = own.join(all_senses.select("sense", "sense_id", "lexeme_id"), "sense").select("seq", "sub", "text", "sense_id", "lexeme_id")
+    shared = _children(elements, ("Synset", "ExternalSynset"), "Example").select("seq", F.col("ord").alias("sub"), "text", F.col("record").alias("synset")).filter("text IS NOT NULL")
+    members = all_senses.select("concept_id", "sense_id", "lexeme_id").distinct()
+    shared = shared.join(concept_table.select("synset", "concept_id"), "synset").join(members, "concept_id").select("seq", "sub", "text", "sense_id", "lexeme_id")
+    both = own.unionByName(shared).withColumn("example_id", ident)
+    return both.join(lexeme_table.select("lexeme_id", F.posexplode("forms").alias("ord", "form")), "lexeme_id").select("example_id", "text", "sense_id", "form", "ord", "seq", "sub")
+
+
+def convert_files(spark: SparkSession, paths: list[str], index: DataFrame, out: str, first: str = "oewn") -> DataFrame:
+    """(path, status, message) of converting each file to records in out/<name>.
+
+    The reference wordnet goes first, and its relations are not stated again by others; a file whose output exists is
+    skipped; an error stops its own file only.
+    """
+    import os
+
+    from ..sources.xml import read
+
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf, told, existing = spark.sparkContext._jsc.hadoopConfiguration(), [], None
+    for path in sorted(paths, key=lambda p: (not os.path.basename(p).startswith(first), os.path.basename(p))):
+        name = os.path.basename(path).split(".xml")[0]
+        target = f"{out}/{name}"
+        leader = name.startswith(first)
+        try:
+            done = hadoop(f"{target}/_SUCCESS")
+            if done.getFileSystem(conf).exists(done):
+                told.append((path, "skipped", ""))
+            else:
+                records, _ = as_elements(spark, read(spark, [path], LMF_TAGS), index, None if leader else existing, not leader)
+                records.write.mode("overwrite").parquet(target)
+                told.append((path, "converted", ""))
+            if leader:
+                a = F.col("attrs")
+                existing = spark.read.parquet(target).filter("tag = 'ConceptRelation'").select(a["source"].alias("source"), a["target"].alias("target"), a["relation_type"].alias("type"))
+        except Exception as error:  # noqa: BLE001
+            told.append((path, "failed", str(error)[:500]))
+    return spark.createDataFrame(told, "path string, status string, message string")

@@ -4,7 +4,7 @@ from lexweave.operators import convert, post
 from lexweave.sources import xml
 
 LMF = """<LexicalResource><Lexicon id="tiny" language="en" version="1" label="Tiny">
- <LexicalEntry id="e1"><Lemma writtenForm="dog" partOfSpeech="n"/><Form writtenForm="dogs"/><Sense id="s1" synset="y1"><SenseRelation relType="derivation" target="s3"/></Sense></LexicalEntry>
+ <LexicalEntry id="e1"><Lemma writtenForm="dog" partOfSpeech="n"/><Form writtenForm="dogs"/><Sense id="s1" synset="y1"><SenseRelation relType="derivation" target="s3"/><Example>Two dogs met.</Example></Sense></LexicalEntry>
  <LexicalEntry id="e2"><Lemma writtenForm="dogs" partOfSpeech="n"/><Form writtenForm="dog"/><Sense id="s2" synset="y1"/></LexicalEntry>
  <LexicalEntry id="e3"><Lemma writtenForm="doggy" partOfSpeech="s"/><Sense id="s3" synset="y2"/><Sense id="s4" synset="gone"/></LexicalEntry>
  <Synset id="y0" ili="i1" partOfSpeech="n"><Definition>a being</Definition></Synset>
@@ -73,3 +73,25 @@ def test_pictogram_tables(spark):
     pics = spark.createDataFrame([("i1", 0, "x", []), ("i1", 1, "y", [101, 102]), ("i9", 0, "z", [5])], "ili string, position int, lemma string, ids array<long>")
     synsets = spark.createDataFrame([(1, "i1", "NOUN"), (2, None, "NOUN")], "id long, ili string, pos string")
     assert [tuple(r) for r in post.pictogram_rows(pics, synsets).collect()] == [(1, 101)]
+
+
+def test_source_to_lexicon(spark, tmp_path):
+    from lexweave.operators import ingest, search
+
+    (tmp_path / "tiny.xml").write_text(LMF)
+    (tmp_path / "broken.xml").write_text("<LexicalResource><Lexicon")
+    index = spark.createDataFrame([("i1", "NOUN"), ("i7", "NOUN")], "ili string, pos string")
+    records, log = convert.as_elements(spark, xml.read(spark, [str(tmp_path / "tiny.xml")], convert.LMF_TAGS), index)
+    cili = tmp_path / "cili.xml"
+    cili.write_text('<R id="cili"><Concept id="cili.i1" ontological_category="NOUN"/><Concept id="cili.i7" ontological_category="NOUN"/></R>')
+    base = xml.read(spark, [str(cili)])
+    lex, logs = ingest.build(spark, base.unionByName(records.withColumn("resource_ord", F.col("resource_ord") + 1)))
+    assert {(r["form"], r["definition"]) for r in search.search(lex, "dog").collect()} == {("dog", "barks")}
+    assert {(r["type"]) for r in lex.synset_relations.collect()} == {"hypernym", "hyponym"} and lex.sense_relations.count() == 2
+    assert [(r["example"]) for r in lex.examples.collect()] == ["Two dogs met."] and [(r["start"], r["end"]) for r in lex.example_annotations.collect()] == [(4, 8)]
+    metrics = {r["metric"]: r["n"] for r in log.collect()}
+    assert metrics["unresolved_synset"] == 1 and metrics["missing_ili"] == 2 and metrics["included_example"] == 1
+    out = str(tmp_path / "out")
+    paths = [str(tmp_path / "broken.xml"), str(tmp_path / "tiny.xml")]
+    assert {r["path"].rpartition("/")[2]: r["status"] for r in convert.convert_files(spark, paths, index, out).collect()} == {"broken.xml": "failed", "tiny.xml": "converted"}
+    assert {r["status"] for r in convert.convert_files(spark, paths[1:], index, out).collect()} == {"skipped"}
