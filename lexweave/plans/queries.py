@@ -569,3 +569,58 @@ def incremental_ingest(spark, sf):
 def sense_relation_symmetry(spark, sf):
     r = adapter.relations(spark, sf).filter("type = 'hypernym'").withColumn("type", F.lit("antonym"))
     return rel.resolve(r, SENSE_INVERSES)[0].select("source", "target")
+
+
+@query("language_names", " SELECT id, code, CASE code WHEN 'de' THEN 'German' WHEN 'en' THEN 'English' WHEN 'es' THEN 'Spanish' WHEN 'fr' THEN 'French' END AS name FROM languages")
+def language_names(spark, sf):
+    from ..functions.languages import with_names
+
+    return with_names(adapter.languages(spark))
+
+
+@query("examples_spans", """ WITH c AS (SELECT conv_id * 100 + turn AS id, min(text) AS t FROM conversations GROUP BY 1)
+SELECT id AS example_id, t AS example, (instr(t, string_split(t, ' ')[2]) - 1)::INT AS "start", (instr(t, string_split(t, ' ')[2]) - 1 + length(string_split(t, ' ')[2]))::INT AS "end" FROM c WHERE id % 7 = 3 AND length(string_split(t, ' ')[2]) > 0""", common=False)
+def examples_spans(spark, sf):
+    """Examples of one sense with their spans, by the composite key of example and sense."""
+    c = table(spark, sf, "conversations").groupBy((F.col("conv_id") * 100 + F.col("turn")).alias("id")).agg(F.min("text").alias("example"))
+    word = F.get(F.split("example", " "), F.lit(1))
+    start = F.expr("instr(example, get(split(example, ' '), 1)) - 1").cast("int")
+    spans = c.filter(F.length(word) > 0).select(F.col("id").alias("example_id"), start.alias("start"), (start + F.length(word)).cast("int").alias("end"), (F.col("id") % 7).alias("sense_id"))
+    lex = lexicon(spark, sf).with_(examples=c, example_annotations=spans, sense_examples=spans.select("sense_id", "example_id"))
+    return search.examples_of(lex, 3)
+
+
+@query("display_labels", " SELECT DISTINCT type, CASE type WHEN 'hypernym' THEN 'above' WHEN 'mero_part' THEN 'part of' ELSE type END AS label FROM rels")
+def display_labels(spark, sf):
+    config = spark.createDataFrame([("hypernym", "hyp", {"en": "above", "ja": "上位"}), ("partonym", "mero_part", {"en": "part of"})], "name string, short string, labels map<string,string>")
+    return rel.display_labels(adapter.relations(spark, sf).select("type").distinct(), config, "de")
+
+
+@query("comparison_table", """ SELECT metric, value AS ours, CASE metric WHEN 'senses' THEN 5::BIGINT END AS theirs FROM (SELECT 'synsets' AS metric, count(*)::BIGINT AS value FROM synsets UNION ALL SELECT 'entries', count(*) FROM entries UNION ALL SELECT 'senses', count(*) FROM senses
+UNION ALL SELECT 'languages', count(DISTINCT language_id) FROM entries UNION ALL SELECT 'resources', 0)""")
+def comparison_table(spark, sf):
+    return stats.comparison_table(lexicon(spark, sf), {"senses": 5})
+
+
+@query("quality_metric_issues", " SELECT 'category_mismatch' AS code, 'WARNING' AS severity, o_orderpriority || ' ' || o_orderstatus || ' ' || count(*)::VARCHAR AS item FROM orders GROUP BY o_orderpriority, o_orderstatus", common=False)
+def quality_metric_issues(spark, sf):
+    log = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("resource"), F.col("o_orderstatus").alias("key")).agg(F.count("*").alias("n"))
+    return quality.metric_issues(log.withColumn("metric", F.lit("category_mismatch")))
+
+
+@query("conflict_issues", f", {WIN} SELECT 'reversed relation' AS code, 'CRITICAL' AS severity, source || ' ' || r.type || ' ' || target || ' against ' || (SELECT arg_min(resource, seq) FROM rels x WHERE x.type = r.type AND least(x.source, x.target) = l AND greatest(x.source, x.target) = h) AS item FROM rels r JOIN w ON r.type = w.type AND least(source, target) = l AND greatest(source, target) = h WHERE ((source <= target) <> up OR (l = h AND seq > first)) AND resource = 'F'")
+def conflict_issues(spark, sf):
+    conflicts = rel.resolve(adapter.relations(spark, sf), CONCEPT_INVERSES)[1]
+    return quality.conflict_issues(conflicts, spark.createDataFrame([], "chain array<long>"), "F")
+
+
+@query("index_concepts", " SELECT 'cili.i' || p_partkey AS concept_id, 'NOUN' AS pos, p_name AS gloss, lpad(p_partkey::VARCHAR, 8, '0') || '-n' AS original_id FROM part WHERE p_partkey % 2 = 0", common=False)
+def index_concepts(spark, sf):
+    """Concepts of the interlingual index from a definitions table joined with a map of source ids."""
+    from ..sources.files import index_concepts as concepts
+    from ..sources.files import index_table
+
+    p = table(spark, sf, "part")
+    ili = F.concat(F.lit("i"), F.col("p_partkey").cast("string")).alias("ili_id")
+    mapping = p.filter("p_partkey % 2 = 0").select(ili, T.offset_id(F.col("p_partkey"), F.lit("n")).alias("origin_id"))
+    return concepts(index_table(p.select(ili, F.col("p_name").alias("definition")), mapping)).select("concept_id", "pos", "gloss", "original_id")

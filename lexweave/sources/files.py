@@ -145,3 +145,29 @@ def align_sentences(text: str, sentences: list[list[tuple[str, str | None]]], mo
         return spans
     return None
 
+
+
+def gloss_errors(text: str, spans: list[tuple[int, int, str | None]], known: set[str] | None = None) -> list[str]:
+    """What is wrong with an annotated gloss: order, overlap, bounds, empty spans, missing or unknown senses."""
+    out, last = [], 0
+    for k, (a, b, sense) in enumerate(spans):
+        if not 0 <= a < b <= len(text):
+            out.append(f"span {k} [{a}, {b}) is empty or outside the text")
+        elif a < last:
+            out.append(f"span {k} starts at {a}, before {last}")
+        elif text[a:b] != text[a:b].strip():
+            out.append(f"span {k} begins or ends with white space")
+        if not sense:
+            out.append(f"span {k} names no sense")
+        elif known is not None and sense not in known:
+            out.append(f"span {k} names the unknown sense {sense}")
+        last = max(last, b)
+    return out
+
+
+def offset_to_key(offsets: DataFrame, mapping: DataFrame) -> DataFrame:
+    """(synset, offset, pos) with the source id offset8-pos; mapping (name, offset, pos) names what has no number."""
+    from ..functions.text import offset_id
+
+    joined = offsets.join(mapping.withColumnRenamed("name", "synset"), "synset", "left")
+    return joined.select("synset", offset_id(F.col("offset"), F.col("pos")).alias("source_id"))

@@ -130,3 +130,45 @@ def test_gloss_alignment():
     tokens = [[("the", None), ("big", "s1"), ("dog", "s1")], [("it", None), ("runs", "s2")]]
     assert files.align_sentences("it runs; the big dog", tokens) == [(3, 7, "s2"), (13, 20, "s1")]
     assert files.align_sentences("something else", tokens) is None
+
+
+def test_gloss_errors():
+    assert files.gloss_errors("a dog", [(2, 5, "s")], {"s"}) == []
+    assert len(files.gloss_errors("a dog", [(2, 5, None), (1, 3, "x"), (4, 4, "s")], {"s"})) == 4
+
+
+def test_index_files(spark, tmp_path):
+    (tmp_path / "d.tsv").write_text("ili_id\tdefinition\ni1\ta  thing\ni2\t\ni3\tunmapped\n")
+    (tmp_path / "m.tsv").write_text("ili_id\torigin_id\ni1\t00001740-n\ni2\t00001930-v\n")
+    index = files.index_table(files.read_tsv(spark, str(tmp_path / "d.tsv"), "ili_id string, definition string"), files.read_tsv(spark, str(tmp_path / "m.tsv"), "ili_id string, origin_id string"))
+    assert [r["ili_id"] for r in files.empty_definitions(index).collect()] == ["i2"]
+    one = files.index_concepts(index.filter("ili_id = 'i1'")).first()
+    assert (one["concept_id"], one["pos"], one["gloss"], one["version"], one["original_id"]) == ("cili.i1", "NOUN", "a thing", "3.0", "00001740-n")
+    with pytest.raises(Exception, match="empty definition"):
+        files.index_concepts(index).collect()
+
+
+def test_configuration_and_maps(spark, tmp_path):
+    (tmp_path / "w.toml").write_text('en = ["https://x/a.xml"]\nfr = "https://x/b.xml"\n')
+    assert files.sources_config(str(tmp_path / "w.toml")) == {"en": ["https://x/a.xml"], "fr": ["https://x/b.xml"]}
+    (tmp_path / "p.json").write_text('{"i100": {"b": [], "a": [101, 102]}, "i200": {"c": [201]}}')
+    pics = files.pictogram_map(spark, str(tmp_path / "p.json"))
+    assert {(r["ili"], r["arasaac_id"]) for r in post.first_pictograms(pics).collect()} == {("i100", 101), ("i200", 201)}
+
+
+def test_searches_push_down_and_stay_in_the_jvm(spark, merged, tmp_path):
+    lex, _ = merged
+    lex.save(str(tmp_path / "db"))
+    back = Lexicon.load(spark, str(tmp_path / "db"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    exact = plan(search.search(back, "cat"))
+    assert "EqualTo(norm,cat)" in exact and "Python" not in exact and "CartesianProduct" not in exact
+    assert "StringStartsWith(norm,ca)" in plan(search.search(back, "ca*"))
+    assert "EqualTo(ili,i3)" in plan(search.search(back, "i3"))
+    looked = plan(search.provenance_of(back, "senses", 3))
+    assert "PartitionFilters" in looked and "table_name" in looked.split("PartitionFilters")[1][:120]
+
+
+def test_latex_and_display(spark):
+    rows = [{"code": "a_b", "n": 1234567, "x": None}]
+    assert export.latex_table(rows, ["code", "n", "x"]) == "\\begin{tabular}{lrr}\ncode & n & x \\\\ \\hline\na\\_b & 1,234,567 & --- \\\\\n\\end{tabular}\n"
