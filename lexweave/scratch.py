@@ -15,6 +15,9 @@ def shared_dir(spark: SparkSession) -> str:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             return known.get()
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexweave-"))
         at = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return at
@@ -23,10 +26,13 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Parquet tables in the shared folder: a lost executor costs no recomputation of earlier rounds."""
 
+    roots: list[str] = []
+
     def __init__(self, spark: SparkSession, what: str):
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
         self.count = 0
+        Scratch.roots.append(self.root)
 
     def cut(self, df: DataFrame) -> DataFrame:
         """Write df and give back the written table."""
@@ -44,3 +50,11 @@ class Scratch:
         if at:
             path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all scratch tables of this process; results that read them must have been written or collected before."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while Scratch.roots:
+        path = hadoop(Scratch.roots.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

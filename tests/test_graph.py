@@ -72,3 +72,16 @@ def test_pictograms(spark):
     got = {r["synset_id"]: (r["arasaac_id"], r["via"]) for r in graph.pictograms(spark, synsets, pics, relations).collect()}
     assert got == {1: (50, "direct"), 2: (50, "hypernym"), 3: (50, "hypernym"), 4: (50, "eq_synonym"), 5: (50, "similar"), 6: (None, None)}
     assert graph.representative_cycles(spark, relations.select("source", F.col("target"))).count() == 0
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from lexweave import scratch
+
+    t = scratch.Scratch(spark, "x").cut(spark.range(3))
+    assert t.count() == 3 and t.columns == ["id"]
+    path = t._scratch.removeprefix("file:")
+    import os
+
+    assert os.path.isdir(path)
+    scratch.clear(spark)
+    assert not os.path.exists(path) and scratch.Scratch.roots == []
