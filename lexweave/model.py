@@ -97,6 +97,24 @@ class Lexicon:
     def load(spark: SparkSession, root: str) -> Lexicon:
         return Lexicon({n: spark.read.schema(s).parquet(f"{root}/{n}") for n, s in SCHEMAS.items()})
 
+    #: Tables that are joined on these columns are bucketed by them, alike.
+    BUCKETS = {"forms": "entry_id", "entries": "id", "senses": "entry_id", "synsets": "id", "definitions": "synset_id"}
+
+    def register(self, database: str, buckets: int = 16) -> None:
+        """Save as catalogue tables with statistics. Forms, entries and senses share their bucketing by entry, so that the
+        joins of a search need no shuffle; so do synsets and definitions."""
+        spark = self.synsets.sparkSession
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        for name, df in self.tables.items():
+            key = self.BUCKETS.get(name)
+            writer = df.write if key is None else df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+            writer.mode("overwrite").saveAsTable(f"{database}.{name}")
+            spark.sql(f"ANALYZE TABLE `{database}`.`{name}` COMPUTE STATISTICS FOR ALL COLUMNS")
+
+    @staticmethod
+    def registered(spark: SparkSession, database: str) -> Lexicon:
+        return Lexicon({n: spark.table(f"{database}.{n}") for n in SCHEMAS})
+
     def save(self, root: str) -> None:
         """Forms are sorted by their normalised form, so that searches prune row groups by its minimum and maximum."""
         for name, df in self.tables.items():

@@ -169,6 +169,24 @@ def test_searches_push_down_and_stay_in_the_jvm(spark, merged, tmp_path):
     assert "PartitionFilters" in looked and "table_name" in looked.split("PartitionFilters")[1][:120]
 
 
+def test_registered_tables_join_without_a_shuffle(spark, merged):
+    lex, _ = merged
+    database = "lexweave_test"
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    lex.register(database, 4)
+    back = Lexicon.registered(spark, database)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        e = back.entries.withColumnRenamed("id", "entry_id").select("entry_id", "language_id")
+        joined = back.forms.join(e, "entry_id").join(back.senses.select("entry_id", "synset_id"), "entry_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(search.search(back, "cat*").select("form")) == rows(search.search(lex, "cat*").select("form"))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def test_latex_and_display(spark):
     rows = [{"code": "a_b", "n": 1234567, "x": None}]
     assert export.latex_table(rows, ["code", "n", "x"]) == "\\begin{tabular}{lrr}\ncode & n & x \\\\ \\hline\na\\_b & 1,234,567 & --- \\\\\n\\end{tabular}\n"
