@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import Scratch, shared_dir
 
-__all__ = ["SPACE", "Scratch", "add_columns", "bounded_batches", "fresh", "held_out", "shared_dir", "table", "word_count"]
+__all__ = ["SPACE", "Scratch", "add_columns", "bounded_batches", "fresh", "held_out", "shared_dir", "table", "without_lines", "word_count"]
 
 #: Characters between words where a contract speaks of `[^\x20\x09-\x0D]+`.
 SPACE = r"\x20\x09-\x0D"
@@ -29,6 +29,18 @@ def word_count(text: str | Column) -> Column:
     return F.when(flat.isNull() | (flat == ""), F.lit(0)).otherwise(F.size(F.split(flat, " +"))).cast("long")
 
 
+def without_lines(text: str, gone: str) -> Column:
+    """The column text without the lines whose numbers (from 0, sorted, once each) the column gone lists.
+
+    Linear in the lines: each number contributes the gap before it and itself to one flag a line.
+    """
+    before = lambda j: F.when(j == 0, -1).otherwise(F.get(gone, j - 1))
+    flags = F.flatten(F.transform(gone, lambda x, j: F.concat(F.array_repeat(F.lit(False), x - before(j) - 1), F.array(F.lit(True)))))
+    both = F.arrays_zip(F.split(text, "\n", -1).alias("s"), flags.alias("gone"))
+    left = F.transform(F.filter(both, lambda z: ~F.coalesce(z["gone"], F.lit(False))), lambda z: z["s"])
+    return F.array_join(left, "\n")
+
+
 #: Rows of an Arrow batch where the session does not say: whole texts must fit in memory several times over.
 BATCH_ROWS = 512
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, fresh, table
+from .common import Scratch, fresh, table, without_lines
 
 MIN_LINES = 2
 MIN_CHARS = 20
@@ -115,12 +115,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     marks = marks.agg(F.sort_array(F.collect_list("line")).alias("_gone"), F.max("run_floor").alias("_floor"))
     joined = docs.join(marks, (_doc() == F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left")
     lines = F.split("text", "\n", -1)
-    # One flag a line, from the sorted numbers: each contributes the gap before it and itself.
-    before = lambda j: F.when(j == 0, -1).otherwise(F.get("_gone", j - 1))
-    flags = F.flatten(F.transform("_gone", lambda x, j: F.concat(F.array_repeat(F.lit(False), x - before(j) - 1), F.array(F.lit(True)))))
-    both = F.arrays_zip(lines.alias("s"), flags.alias("gone"))
-    left = F.transform(F.filter(both, lambda z: ~F.coalesce(z["gone"], F.lit(False))), lambda z: z["s"])
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(without_lines("text", "_gone"))
     filled = F.size(F.filter(lines, lambda s: _trim(s) != ""))
     return joined.select(
         *[text.alias(c) if c == "text" else docs[c] for c in docs.columns],

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_batches, fresh, table
+from .common import Scratch, bounded_batches, fresh, table, without_lines
 from .components import components
 
 MIN_WORDS = 25
@@ -316,8 +316,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs with the repeated paragraphs' lines cut out of text."""
     marked = mark_repeats(spark, docs)
     gone = marked.columns[-3]
-    left = F.filter(F.arrays_zip(F.split("text", "\n", -1).alias("s"), F.sequence(F.lit(0), F.size(F.split("text", "\n", -1)) - 1).alias("k")), lambda z: ~F.array_contains(gone, z["k"]))
-    text = F.when(F.size(gone) == 0, F.col("text")).otherwise(F.array_join(F.transform(left, lambda z: z["s"]), "\n"))
+    text = F.when(F.size(gone) == 0, F.col("text")).otherwise(without_lines("text", gone))
     return marked.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
 
 
