@@ -300,11 +300,11 @@ def hypernym_path(spark, sf):
 
 
 def _pictures(spark, sf) -> DataFrame:
-    p = table(spark, sf, "part").filter("p_partkey % 7 = 4")
+    p = table(spark, sf, "part").filter("p_size < 8")
     return p.select((F.col("p_partkey") + 1).alias("synset_id"), (F.col("p_partkey") + 2000).alias("arasaac_id"))
 
 
-@query("pictogram_fallback", """, pic AS (SELECT p_partkey + 1 AS synset_id, p_partkey + 2000 AS picture FROM part WHERE p_partkey % 7 = 4),
+@query("pictogram_fallback", """, pic AS (SELECT p_partkey + 1 AS synset_id, p_partkey + 2000 AS picture FROM part WHERE p_size < 8),
 c AS (SELECT source AS node, target AS ancestor, 1 AS depth FROM acyclic UNION ALL SELECT c.node, a.target, depth + 1 FROM c JOIN acyclic a ON a.source = c.ancestor),
 near AS (SELECT node, arg_min(picture, depth) AS picture FROM c JOIN pic ON pic.synset_id = c.ancestor GROUP BY 1)
 SELECT y.id AS synset_id, coalesce(p.picture, n.picture) AS arasaac_id, CASE WHEN p.picture IS NOT NULL THEN 'direct' WHEN n.picture IS NOT NULL THEN 'hypernym' END AS via
@@ -314,10 +314,10 @@ def pictogram_fallback(spark, sf):
     return graph.pictograms(spark, lex.synsets, _pictures(spark, sf), lex.synset_relations)
 
 
-@query("pictogram_rows", " SELECT y.id AS synset_id, p_partkey * 10 AS arasaac_id FROM synsets y JOIN part ON ili = 'i' || p_partkey WHERE p_size % 3 <> 0")
+@query("pictogram_rows", " SELECT y.id AS synset_id, p_partkey * 10 AS arasaac_id FROM synsets y JOIN part ON ili = 'i' || p_partkey WHERE p_size > 20")
 def pictogram_rows(spark, sf):
     p = table(spark, sf, "part")
-    ids = F.when(F.col("p_size") % 3 != 0, F.array(F.col("p_partkey") * 10, F.col("p_partkey"))).otherwise(F.array().cast("array<bigint>"))
+    ids = F.when(F.col("p_size") > 20, F.array(F.col("p_partkey") * 10, F.col("p_partkey"))).otherwise(F.array().cast("array<bigint>"))
     pics = p.select(F.concat(F.lit("i"), F.col("p_partkey").cast("string")).alias("ili"), F.lit(0).alias("position"), F.col("p_name").alias("lemma"), ids.alias("ids"))
     return post.pictogram_rows(pics, lexicon(spark, sf).synsets)
 
@@ -381,12 +381,12 @@ def fingerprint(spark, sf):
     return stats.fingerprint(lexicon(spark, sf)).filter("metric <> 'rows'")
 
 
-@query("fingerprint_diff", """, a AS (SELECT pos AS key, count(*) AS n FROM synsets GROUP BY 1), b AS (SELECT pos AS key, count(*) AS n FROM synsets WHERE id % 5 <> 0 GROUP BY 1)
+@query("fingerprint_diff", """, a AS (SELECT pos AS key, count(*) AS n FROM synsets GROUP BY 1), b AS (SELECT pos AS key, count(*) AS n FROM synsets WHERE ili IS NOT NULL GROUP BY 1)
 SELECT 'pos' AS metric, coalesce(a.key, b.key) AS key, a.n::BIGINT AS before, b.n::BIGINT AS after FROM a FULL JOIN b ON a.key = b.key WHERE a.n IS DISTINCT FROM b.n""")
 def fingerprint_diff(spark, sf):
     y = lexicon(spark, sf).synsets
     of = lambda df: stats.distribution(df, "pos").select(F.lit("pos").alias("metric"), "key", F.col("n").alias("value"))
-    return stats.compare(of(y), of(y.filter("id % 5 <> 0")))
+    return stats.compare(of(y), of(y.filter("ili IS NOT NULL")))
 
 
 @query("pos_mismatch_hist", " SELECT l_returnflag AS a, l_linestatus AS b, count(*)::BIGINT AS n FROM lineitem WHERE l_returnflag IS DISTINCT FROM l_linestatus GROUP BY 1, 2", common=False)
@@ -466,9 +466,9 @@ def quality_hypernym_loops(spark, sf):
     return quality.hypernym_loops(spark, r).select("component", F.size("cycle").alias("nodes"))
 
 
-@query("keyref_violations", " SELECT l_suppkey AS value, count(*)::BIGINT AS n FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0) GROUP BY 1", common=False)
+@query("keyref_violations", " SELECT l_suppkey AS value, count(*)::BIGINT AS n FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY 1", common=False)
 def keyref_violations(spark, sf):
-    keys = table(spark, sf, "supplier").filter("s_suppkey % 3 = 0")
+    keys = table(spark, sf, "supplier").filter("s_acctbal > 0")
     return quality.keyref_violations(table(spark, sf, "lineitem"), "l_suppkey", keys, "s_suppkey")
 
 
@@ -499,15 +499,15 @@ def concept_labels(spark, sf):
 
 
 def _pairs(spark, sf) -> DataFrame:
-    """Candidates of an example: the forms of parts that its conversation's number selects."""
+    """Candidates of an example: its own words, in capitals."""
     c = table(spark, sf, "conversations").select(((F.col("conv_id") * 100) + F.col("turn")).alias("example_id"), "text")
-    words = F.filter(F.transform(F.slice(F.split("text", " "), 1, 6), lambda w: F.upper(w)), lambda w: F.length(w) > 2)
+    words = F.filter(F.transform(F.split("text", " "), lambda w: F.translate(w, T.LOWER, T.UPPER)), lambda w: F.length(w) > 2)
     return c.groupBy("example_id").agg(F.min("text").alias("text")).select("example_id", "text", F.posexplode(words).alias("ord", "form")).withColumn("sense_id", F.col("ord").cast("long"))
 
 
 @query("match_examples", """
 WITH c AS (SELECT conv_id * 100 + turn AS example_id, min(text) AS text FROM conversations GROUP BY 1),
-w AS (SELECT example_id, text, [upper(x) for x in string_split(text, ' ')[1:6] if length(x) > 2] AS ws FROM c),
+w AS (SELECT example_id, text, [translate(x, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') for x in string_split(text, ' ') if length(x) > 2] AS ws FROM c),
 p AS (SELECT example_id, text, unnest(ws) AS form, unnest(range(len(ws))) AS ord FROM w),
 h AS (SELECT *, instr(lower(text), lower(form)) AS k FROM p WHERE instr(lower(text), lower(form)) > 0)
 SELECT example_id, form, (k - 1)::INT AS start, (k - 1 + length(form))::INT AS "end" FROM h QUALIFY row_number() OVER (PARTITION BY example_id ORDER BY length(form) DESC, ord) = 1""", common=False)
@@ -578,16 +578,16 @@ def language_names(spark, sf):
     return with_names(adapter.languages(spark))
 
 
-@query("examples_spans", """ WITH c AS (SELECT conv_id * 100 + turn AS id, min(text) AS t FROM conversations GROUP BY 1)
-SELECT id AS example_id, t AS example, (instr(t, string_split(t, ' ')[2]) - 1)::INT AS "start", (instr(t, string_split(t, ' ')[2]) - 1 + length(string_split(t, ' ')[2]))::INT AS "end" FROM c WHERE id % 7 = 3 AND length(string_split(t, ' ')[2]) > 0""", common=False)
+@query("examples_spans", """ WITH c AS (SELECT conv_id * 100 + turn AS id, turn, min(text) AS t FROM conversations GROUP BY 1, 2)
+SELECT id AS example_id, t AS example, (instr(t, string_split(t, ' ')[2]) - 1)::INT AS "start", (instr(t, string_split(t, ' ')[2]) - 1 + length(string_split(t, ' ')[2]))::INT AS "end" FROM c WHERE turn = 1 AND length(string_split(t, ' ')[2]) > 0""", common=False)
 def examples_spans(spark, sf):
     """Examples of one sense with their spans, by the composite key of example and sense."""
-    c = table(spark, sf, "conversations").groupBy((F.col("conv_id") * 100 + F.col("turn")).alias("id")).agg(F.min("text").alias("example"))
+    c = table(spark, sf, "conversations").groupBy((F.col("conv_id") * 100 + F.col("turn")).alias("id"), "turn").agg(F.min("text").alias("example"))
     word = F.get(F.split("example", " "), F.lit(1))
     start = F.expr("instr(example, get(split(example, ' '), 1)) - 1").cast("int")
-    spans = c.filter(F.length(word) > 0).select(F.col("id").alias("example_id"), start.alias("start"), (start + F.length(word)).cast("int").alias("end"), (F.col("id") % 7).alias("sense_id"))
-    lex = lexicon(spark, sf).with_(examples=c, example_annotations=spans, sense_examples=spans.select("sense_id", "example_id"))
-    return search.examples_of(lex, 3)
+    spans = c.filter(F.length(word) > 0).select(F.col("id").alias("example_id"), start.alias("start"), (start + F.length(word)).cast("int").alias("end"), F.col("turn").alias("sense_id"))
+    lex = lexicon(spark, sf).with_(examples=c.select("id", "example"), example_annotations=spans, sense_examples=spans.select("sense_id", "example_id"))
+    return search.examples_of(lex, 1)
 
 
 @query("display_labels", " SELECT DISTINCT type, CASE type WHEN 'hypernym' THEN 'above' WHEN 'mero_part' THEN 'part of' ELSE type END AS label FROM rels")
@@ -614,7 +614,7 @@ def conflict_issues(spark, sf):
     return quality.conflict_issues(conflicts, spark.createDataFrame([], "chain array<long>"), "F")
 
 
-@query("index_concepts", " SELECT 'cili.i' || p_partkey AS concept_id, 'NOUN' AS pos, p_name AS gloss, lpad(p_partkey::VARCHAR, 8, '0') || '-n' AS original_id FROM part WHERE p_partkey % 2 = 0", common=False)
+@query("index_concepts", " SELECT 'cili.i' || p_partkey AS concept_id, 'NOUN' AS pos, p_name AS gloss, lpad(p_partkey::VARCHAR, 8, '0') || '-n' AS original_id FROM part WHERE p_size > 10", common=False)
 def index_concepts(spark, sf):
     """Concepts of the interlingual index from a definitions table joined with a map of source ids."""
     from ..sources.files import index_concepts as concepts
@@ -622,5 +622,5 @@ def index_concepts(spark, sf):
 
     p = table(spark, sf, "part")
     ili = F.concat(F.lit("i"), F.col("p_partkey").cast("string")).alias("ili_id")
-    mapping = p.filter("p_partkey % 2 = 0").select(ili, T.offset_id(F.col("p_partkey"), F.lit("n")).alias("origin_id"))
+    mapping = p.filter("p_size > 10").select(ili, T.offset_id(F.col("p_partkey"), F.lit("n")).alias("origin_id"))
     return concepts(index_table(p.select(ili, F.col("p_name").alias("definition")), mapping)).select("concept_id", "pos", "gloss", "original_id")
