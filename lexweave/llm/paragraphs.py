@@ -1,8 +1,9 @@
 """Substring dedup by paragraph MinHash banding.
 
-A paragraph is a line of at least MIN_WORDS words (white space collapsed, lower-cased). Equal paragraphs are one class.
-Classes are compared by the Jaccard similarity of their sets of SHINGLE = 5 word shingles; THRESHOLD = 0.8 or more links
-two classes that collide in at least one band of their MinHash signatures. Bands and rows come from ``tune``: the
+A paragraph is a line that is not blank (white space collapsed, lower-cased). Equal paragraphs are one class, whatever
+their length. Classes are compared by the Jaccard similarity of their sets of SHINGLE = 5 word shingles; THRESHOLD = 0.8 or
+more links two classes that collide in at least one band of their MinHash signatures. A paragraph of fewer than SHINGLE
+words is one shingle as a whole, which only equal paragraphs share, so it needs no bands. Bands and rows come from ``tune``: the
 fewest bands of ROWS rows that find a pair at the threshold with probability RECALL or more. Components of the links are
 removal clusters: of each, the paragraph that comes first in (doc_id, text hash, line) stays and the others go.
 
@@ -12,7 +13,7 @@ costs one pass; what comes out is a spanning forest. In a larger bucket each cla
 smallest; those that link to it need no comparison with each other, and the rest meets all members in tiles of GROUP by
 GROUP, each a task of its own. Nothing is capped and no link between two components is lost.
 
-Defined cases: null and empty texts and shorter lines have no paragraphs and never lose anything; rows equal in doc_id
+Defined cases: null and empty texts and blank lines have no paragraphs and never lose anything; rows equal in doc_id
 and text are one document and get the same verdict; null doc_ids come last; classes are told apart by a 64-bit hash of
 the paragraph; an empty table gives an empty result; extra columns stay.
 """
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 from .common import Scratch, bounded_batches, fresh, table, without_lines
 from .components import components
 
-MIN_WORDS = 25
 SHINGLE = 5
+#: Words from which a paragraph can link to an unequal one; shorter ones are compared as a whole.
+MIN_WORDS = SHINGLE
 THRESHOLD = 0.8
 ROWS = 3
 RECALL = 0.999
@@ -60,15 +62,16 @@ def paragraphs_of(text: str | None) -> list[tuple[int, list[str]]]:
     if not text:
         return []
     split = ((k, line.lower().split()) for k, line in enumerate(text.split("\n")))
-    return [(k, w) for k, w in split if len(w) >= MIN_WORDS]
+    return [(k, w) for k, w in split if w]
 
 
 def signatures(word_lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """Class ids and band hashes (paragraphs x BANDS) of paragraphs, all at once."""
-    if not word_lists:
-        return np.zeros(0, np.int64), np.zeros((0, BANDS), np.int64)
+    """Class ids of paragraphs and band hashes (x BANDS) of those with MIN_WORDS words or more, all at once."""
     digest = xxhash.xxh3_64_intdigest
     ids = np.fromiter((digest(" ".join(w)) for w in word_lists), np.uint64, len(word_lists)).view(np.int64)
+    word_lists = [w for w in word_lists if len(w) >= MIN_WORDS]
+    if not word_lists:
+        return ids, np.zeros((0, BANDS), np.int64)
     seen: dict[str, int] = {}
     sizes = np.fromiter(map(len, word_lists), np.int64, len(word_lists))
     values = np.empty(int(sizes.sum()), np.uint64)
@@ -104,7 +107,7 @@ def _doc() -> Column:
 
 
 def paragraph_table(docs: DataFrame) -> DataFrame:
-    """(d, h, line, id, bands) of every paragraph."""
+    """(d, h, line, id, bands) of every paragraph; no bands if it is under MIN_WORDS."""
 
     def run(batches):
         import pyarrow as pa
@@ -115,7 +118,8 @@ def paragraph_table(docs: DataFrame) -> DataFrame:
                 found = [(at + i, k, w) for i, t in enumerate(texts.slice(at, 256).to_pylist()) for k, w in paragraphs_of(t)]
                 ids, bands = signatures([w for _, _, w in found])
                 rows = pa.array([i for i, _, _ in found], pa.int32())
-                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * BANDS, pa.int32()), pa.array(bands.reshape(-1)))
+                ends = np.cumsum([0, *(BANDS * (len(w) >= MIN_WORDS) for _, _, w in found)])
+                listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([d.take(rows), h.take(rows), pa.array([k for _, k, _ in found], pa.int32()), pa.array(ids), listed], names=["d", "h", "line", "id", "bands"])
 
     bounded_batches(docs.sparkSession)

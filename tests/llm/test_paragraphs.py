@@ -106,3 +106,19 @@ def test_grow_links_connects_like_all_pairs():
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert paragraphs.mark_repeats(spark, docs).count() == 0
+
+
+def test_short_paragraphs_take_part(spark):
+    near = [f"w{i}" for i in range(20)]
+    texts = ["One line\nof.\n\n" + " ".join(near), " one  LINE\nof.\n \nalone", "of.\nOne\n" + " ".join([*near[:-1], "x"]), "a b c d e\na b c d\na b c d e f", "a b c d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["removed"], r["repeats_of"]) for r in paragraphs.mark_repeats(spark, docs).collect()}
+    assert got == {0: ([], []), 1: ([0, 1], [0]), 2: ([0, 2], [0]), 3: ([], []), 4: ([0], [3])}
+
+
+def test_signatures_of_mixed_lengths():
+    lists = [["a"], list("abcde"), list("ab"), list("abcdefgh"), list("abcd")]
+    ids, bands = paragraphs.signatures(lists)
+    alone = [paragraphs.signatures([x]) for x in lists]
+    assert ids.tolist() == [a[0][0] for a in alone] and [len(a[1]) for a in alone] == [0, 1, 0, 1, 0]
+    assert (bands == np.concatenate([a[1] for a in alone])).all()
