@@ -1,13 +1,18 @@
 """Main-text extraction by line-block distribution.
 
 Mark-up is stripped into lines, one per block of the page; what lies in menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or reader comments leaves an empty line. Text lengths are summed over sliding windows of
+adverts, forms, scripts, styles or reader comments writes no line. Text lengths are summed over sliding windows of
 WINDOW lines. A stretch surges where its window reaches SURGE characters and dives where WINDOW lines in a row are
-empty or nearly all links; the stretch with the most text is the main text. If its heaviest line lies in an article or
-main element, the stretch is widened to that element, since short opening and closing lines belong to it.
+nearly all links; the stretch with the most text is the main text, with all from the first to the last stretch in the
+smallest box (BOXES) that holds it. If its heaviest line lies in an article or main element, the stretch is widened to
+that element, since short opening and closing lines belong to it.
+
+A class, id or role is noise as a whole name (comments, comment-list, but not comments-open); an article, or an element
+that also has a name of BODY, is left out for two such names only.
 
 Defined cases: a null, empty or text-free page gives an empty string; unclosed and stray tags are tolerated; a page whose
-text lies in one form is read again with forms allowed; if no window surges, all remaining lines are kept (nothing is
+text lies in one form is read again with forms allowed; one that loses all but LEFT of its text to names, with no article
+or main element left, is read again without the rules on names; if no window surges, all remaining lines are kept (nothing is
 capped); repeated rows give equal results; extra columns pass through.
 """
 
@@ -24,6 +29,7 @@ from .common import add_columns, fresh, table
 WINDOW = 3
 SURGE = 60
 LINKED = 0.6
+LEFT = 0.05
 
 # Element and name lists of HTML pages.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
@@ -42,9 +48,15 @@ NOISE = {
     "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "discussion", "share",
     "sharing", "social", "related", "recommended", "recommendations", "widget", "widgets", "toolbar", "skip", "form", "search", "outbrain", "taboola", "paywall",
 }
-FRAME = {"header", "footer", "masthead", "topbar", "head", "foot", "copyright", "colophon", "contentinfo", "complementary", "site", "legal"}
+FRAME = {"header", "footer", "masthead", "topbar", "head", "foot", "copyright", "colophon", "contentinfo", "complementary", "legal"}
 BODY = {"article", "content", "main", "post", "story", "entry", "body", "text", "title"}
+#: Words that leave a compound name what its other words make it (comment-list, sidebar-left, site-header).
+BESIDE = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "col", "column", "container", "global", "group", "header", "inner", "item", "items", "left", "link", "links", "list",
+    "page", "panel", "posts", "primary", "right", "secondary", "section", "site", "slot", "sticky", "the", "top", "unit", "wrap", "wrapper",
+}
 HOLDERS = {"article", "main"}
+BOXES = {"article", "body", "center", "div", "main", "section", "td"}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
@@ -52,49 +64,56 @@ NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 STATEMENT = re.compile(r"^\s*(?:©|\(c\)\s|copyright\b|all rights reserved)", re.I)
 
 
-def _is_noise(tag: str, attributes: str, inside: bool, forms: bool) -> bool:
-    """Whether an element and all below it are left out. inside: it lies in an article or main element."""
+def _is_noise(tag: str, attributes: str, inside: bool, forms: bool) -> tuple[bool, bool]:
+    """Whether an element and all below it are left out, and whether only for a class, id or role. inside: it lies in an
+    article or main element."""
     if tag in DROPPED or tag == "footer" or (tag == "header" and not inside) or (tag in FORMS and not forms):
-        return True
+        return True, False
     if not attributes:
-        return False
+        return False, False
     names: set[str] = set()
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id", "role", "data-role", "aria-label"):
-            names |= {x.lower() for x in NAMES.findall(value)} if key != "aria-label" else set()
+        if key in ("class", "id", "role", "data-role"):
+            names.update(value.split())
         elif key == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, False
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return True, False
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) and tag not in HOLDERS:
-        return True
+        return True, False
     if tag in ("html", "body", "main"):
-        return False
-    if names & NOISE:
-        return True
-    return bool(names & FRAME) and not inside and not names & BODY
+        return False, False
+    parts = [{x.lower() for x in NAMES.findall(n) if not x.isdigit()} for n in names]
+    body = any(x & BODY and x <= BODY | BESIDE for x in parts)
+    noise = sum(bool(x & NOISE) and x <= NOISE | FRAME | BODY | BESIDE for x in parts)
+    if noise > (body or tag == "article"):
+        return True, True
+    frame = any(x & FRAME and x <= FRAME | BESIDE for x in parts)
+    gone = frame and not inside and not body and tag != "article"
+    return gone, gone
 
 
-def lines_of(page: str, forms: bool = False) -> tuple[list[tuple[str, int, int]], dict[int, int]]:
-    """Lines as (text, characters in links, holder) and each holder's parent; a left-out block is an empty line."""
-    lines: list[tuple[str, int, int]] = []
-    parent = {0: 0}
-    stack: list[tuple[str, bool, int]] = []  # tag, left out, holder
+def lines_of(page: str, forms: bool = False, named: bool = True) -> tuple[list[tuple[str, int, int, int]], dict[int, int], dict[int, int], int]:
+    """Lines as (text, characters in links, holder, box), each holder's and each box's parent, and the characters left out
+    for a class, id or role; these rules hold if named."""
+    lines: list[tuple[str, int, int, int]] = []
+    parent, around = {0: 0}, {0: 0}
+    stack: list[tuple[str, bool, int, int, bool]] = []  # tag, left out, holder, box, left out for a name
     pieces: list[str] = []
-    linked, anchors, out, holder = 0, 0, False, 0
+    linked, anchors, out, holder, box, by_name, lost = 0, 0, False, 0, 0, False, 0
 
     def close_line() -> None:
         nonlocal linked
         text = " ".join("".join(pieces).split())
-        if text or out:
-            lines.append((text, min(linked, len(text)), holder))
+        if text:
+            lines.append((text, min(linked, len(text)), holder, box))
         pieces.clear()
         linked = 0
 
     def state() -> None:
-        nonlocal out, holder
-        _, out, holder = stack[-1] if stack else ("", False, 0)
+        nonlocal out, holder, box, by_name
+        _, out, holder, box, by_name = stack[-1] if stack else ("", False, 0, 0, False)
 
     def pop_to(k: int) -> None:
         nonlocal anchors
@@ -117,6 +136,8 @@ def lines_of(page: str, forms: bool = False) -> tuple[list[tuple[str, int, int]]
             pieces.append(text)
             if anchors:
                 linked += len(text)
+        elif by_name:
+            lost += len(text.strip())
         at = after
         if m is None or not m[2]:
             continue
@@ -147,19 +168,19 @@ def lines_of(page: str, forms: bool = False) -> tuple[list[tuple[str, int, int]]
             continue
         if tag in VOID:
             continue
-        gone = out or _is_noise(tag, m[3], holder > 0, forms)
-        inner = holder
+        noise, name = (out, by_name) if out else _is_noise(tag, m[3], holder > 0, forms)
+        gone, inner, room = noise and (named or not name), holder, box
         if tag in HOLDERS and not gone:
             inner = len(parent)
             parent[inner] = holder
-        stack.append((tag, gone, inner))
+        if tag in BOXES and not gone:
+            room = len(around)
+            around[room] = box
+        stack.append((tag, gone, inner, room, gone and name))
         anchors += tag == "a"
         state()
-        if gone and tag in BLOCK | DROPPED:
-            lines.append(("", 0, inner))
-    out = False
     close_line()
-    return lines, parent
+    return lines, parent, around, lost
 
 
 def stretches(lengths: list[int]) -> list[tuple[int, int]]:
@@ -186,23 +207,46 @@ def stretches(lengths: list[int]) -> list[tuple[int, int]]:
 
 def main_text(page: str | None) -> str:
     for forms in (False, True):
-        lines, parent = lines_of(page or "", forms)
-        weights = [0 if not t or linked > LINKED * len(t) or STATEMENT.match(t) and len(t) < 200 else len(t) for t, linked, _ in lines]
+        lines, parent, around, weights, lost = _weighed(page or "", forms, True)
+        if lost and sum(weights) < LEFT * (sum(weights) + lost) and not any(w and h for w, (_, _, h, _) in zip(weights, lines, strict=True)):
+            lines, parent, around, weights, _ = _weighed(page or "", forms, False)
         if any(weights):
             break
     if not any(weights):
         return ""
     heaviest = max(range(len(weights)), key=lambda i: (weights[i], -i))
-    first, last = max(stretches(weights), key=lambda x: (sum(weights[x[0] : x[1] + 1]), -x[0]), default=(heaviest, heaviest))
+    found = stretches(weights)
+    first, last = max(found, key=lambda x: (sum(weights[x[0] : x[1] + 1]), -x[0]), default=(heaviest, heaviest))
     inside = max(range(first, last + 1), key=lambda i: (weights[i], -i))
-    holder = widened(lines, weights, parent, lines[inside][2])
+    near, holder = widened(lines, weights, parent, lines[inside][2])
     if holder:
-        return "\n".join(t for t, _, h in lines if t and _within(h, holder, parent))
-    if not stretches(weights):
+        return "\n".join(t for (t, _, h, _), w in zip(lines, weights, strict=True) if _within(h, near, parent) or w and _within(h, holder, parent))
+    if not found:
         first, last = 0, len(weights) - 1
+    else:
+        # A box's lines follow each other, so what lies between two of its stretches is in it too.
+        box = _common([lines[i][3] for i in range(first, last + 1) if weights[i]], around)
+        shared = [i for a, b in found for i in range(a, b + 1) if weights[i] and _within(lines[i][3], box, around)]
+        first, last = min(shared), max(shared)
     while first and weights[first - 1]:
         first -= 1
-    return "\n".join(t for (t, _, _), w in zip(lines[first : last + 1], weights[first : last + 1], strict=True) if w)
+    return "\n".join(t for (t, _, _, _), w in zip(lines[first : last + 1], weights[first : last + 1], strict=True) if w)
+
+
+def _weighed(page: str, forms: bool, named: bool):
+    """What lines_of gives, with the lines' weights: their characters, 0 for links and statements of rights."""
+    lines, parent, around, lost = lines_of(page, forms, named)
+    weights = [0 if linked > LINKED * len(t) or STATEMENT.match(t) and len(t) < 200 else len(t) for t, linked, _, _ in lines]
+    return lines, parent, around, weights, lost
+
+
+def _common(boxes: list[int], around: dict[int, int]) -> int:
+    """The smallest box around all of boxes; a box has a larger number than those around it."""
+    left = set(boxes)
+    while len(left) > 1:
+        most = max(left)
+        left = left - {most} | {around[most]}
+    return left.pop()
 
 
 def _within(h: int, holder: int, parent: dict[int, int]) -> bool:
@@ -211,16 +255,17 @@ def _within(h: int, holder: int, parent: dict[int, int]) -> bool:
     return h == holder
 
 
-def widened(lines: list[tuple[str, int, int]], weights: list[int], parent: dict[int, int], holder: int) -> int:
-    """The outermost holder around a stretch's heaviest line; an inner one if it has nine tenths of that text. 0: none."""
+def widened(lines: list[tuple[str, int, int, int]], weights: list[int], parent: dict[int, int], holder: int) -> tuple[int, int]:
+    """The innermost holder around a stretch's heaviest line that has nine tenths of the outermost's text, and the
+    outermost, whose heading or lead may stand beside the other. (0, 0): none."""
     chain = []
     while holder:
         chain.append(holder)
         holder = parent[holder]
     if not chain:
-        return 0
-    weight = {k: sum(w for (_, _, h), w in zip(lines, weights, strict=True) if _within(h, k, parent)) for k in chain}
-    return next(k for k in chain if weight[k] >= 0.9 * weight[chain[-1]])
+        return 0, 0
+    weight = {k: sum(w for (_, _, h, _), w in zip(lines, weights, strict=True) if _within(h, k, parent)) for k in chain}
+    return next(k for k in chain if weight[k] >= 0.9 * weight[chain[-1]]), chain[-1]
 
 
 def extract(pages: DataFrame, column: str = "html") -> DataFrame:

@@ -30,3 +30,24 @@ def test_columns(spark):
     assert got[0].__fields__ == ["page_id", "url", "html", "text", "_text", "n_chars"]
     assert [(r["_text"], r["n_chars"]) for r in got] == [(LONG, len(LONG)), ("", 0)]
     assert html.extract(pages.filter("false")).count() == 0
+
+
+def test_left_out_blocks_do_not_end_the_text():
+    for block in ("<div class=ad><p>Buy</p></div>", "<ul class=related><li>x</li></ul>", "<ul><li><a>one</a></li><li><a>two</a></li><li><a>three</a></li></ul>"):
+        assert html.main_text(f"<body><div><p>{LONG}</p><p>{LONG}</p>{block}<p>C {LONG}</p></div></body>") == f"{LONG}\n{LONG}\nC {LONG}", block
+    links = "<p><a>one</a></p>" * 3
+    assert html.main_text(f"<body><div><p>{LONG}</p><p>{LONG}</p></div>{links}<div><p>Other {LONG}</p></div></body>") == f"{LONG}\n{LONG}"
+
+
+def test_heading_and_lead_beside_a_nested_article():
+    page = f"<main><h1>Head</h1><p>Lead.</p><ul><li><a>menu</a></li></ul><article>{f'<p>{LONG}</p>' * 4}</article></main>"
+    assert html.main_text(page) == "\n".join(["Head", "Lead.", *[LONG] * 4])
+
+
+def test_layout_names_are_no_noise():
+    for tag in ("article class='post comments-open'", "div class='content has-sidebar'", "div id=content class=no-sidebar", "article class=sidebar", "div class='hfeed site'", "div class=modal"):
+        name = tag.split()[0]
+        assert html.main_text(f"<body><{tag}><p>{LONG}</p><p>{LONG}</p></{name}></body>") == f"{LONG}\n{LONG}", tag
+    assert html.main_text(f"<div><p>{LONG}</p><p class=search-engine>Engines.</p><p>{LONG}</p></div>") == f"{LONG}\nEngines.\n{LONG}"
+    for name in ("comment-list", "sidebar-left", "site-header", "cookieBanner", "post-comments", "ad ad-300"):
+        assert html.main_text(f"<div><div class='{name}'>{LONG} no</div><p>{LONG}</p></div>") == LONG, name
