@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..model import CONCEPT_INVERSES, ISA_TYPES, SENSE_INVERSES
+from ..model import CONCEPT_INVERSES, SENSE_INVERSES
 from ..operators import convert, graph, post, quality, search, stats
 from ..operators import relations as rel
 from ..operators.ids import first_by, number
@@ -278,9 +278,25 @@ def residual_cycles(spark, sf):
     return graph.residual_cycles(spark, _cyclic(spark, sf))
 
 
+def _merged(spark, sf) -> DataFrame:
+    """Every relation's edge once; one is new if only the resource O has it."""
+    return adapter.relations(spark, sf).groupBy("source", "target").agg(F.min(F.col("resource") == "O").alias("is_new"))
+
+
+# Over all relations; recursive SQL is too slow there, so a small fixture is held against plain reachability (tests).
+@query("relation_cycle_edges_removed")
+def relation_cycle_edges_removed(spark, sf):
+    return graph.remove_new_cycles(spark, _merged(spark, sf), chains=False)[1].select("source", "target")
+
+
+@query("relation_residual_cycles")
+def relation_residual_cycles(spark, sf):
+    return graph.residual_cycles(spark, _merged(spark, sf))
+
+
 @query("representative_cycles")
 def representative_cycles(spark, sf):
-    return graph.representative_cycles(spark, _cyclic(spark, sf)).select("component", F.array_join("cycle", ">").alias("cycle"))
+    return graph.representative_cycles(spark, _merged(spark, sf)).select("component", F.array_join("cycle", ">").alias("cycle"))
 
 
 @query("hypernym_chain", ", c AS (SELECT 1001::BIGINT AS node, 0 AS depth UNION ALL SELECT a.target, depth + 1 FROM c JOIN acyclic a ON a.source = c.node) SELECT depth, node FROM c")
@@ -462,8 +478,7 @@ def quality_glossed_without_senses(spark, sf):
 
 @query("quality_hypernym_loops")
 def quality_hypernym_loops(spark, sf):
-    r = _cyclic(spark, sf).select("source", "target", F.lit(ISA_TYPES[0]).alias("type"))
-    return quality.hypernym_loops(spark, r).select("component", F.size("cycle").alias("nodes"))
+    return quality.hypernym_loops(spark, adapter.relations(spark, sf)).select("component", F.size("cycle").alias("nodes"))
 
 
 @query("keyref_violations", " SELECT l_suppkey AS value, count(*)::BIGINT AS n FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY 1", common=False)

@@ -85,3 +85,28 @@ def test_scratch_tables_can_be_cleared(spark):
     assert os.path.isdir(path)
     scratch.clear(spark)
     assert not os.path.exists(path) and scratch.Scratch.roots == []
+
+
+def test_cycle_queries_cover_all_relations(spark, tmp_path):
+    from lexweave.plans.queries import QUERIES
+
+    rng = random.Random(11)
+    rows = [(k, 1, rng.randrange(30), rng.randrange(20), "ANR"[k % 3], "OF"[rng.randrange(2)], "1996-01-01", 1.0, 1.0) for k in range(60)]
+    rows.append((60, 1, 3, 3, "A", "O", "1996-01-01", 1.0, 1.0))
+    names = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string, l_shipdate string, l_quantity double, l_extendedprice double"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    def components(edges):
+        r = reach(edges)
+        return {min(b for b in r[a] if a in r.get(b, ())): {n for n in r if n in r[n] and a in r[n] and n in r[a]} for a in r if a in r[a]}
+
+    edges = {(x[2] + 1, x[3] + 1) for x in rows}
+    old, r = {(x[2] + 1, x[3] + 1) for x in rows if x[5] == "F"}, reach(edges)
+    want, isa = components(edges), {(x[2] + 1, x[3] + 1) for x in rows if x[4] == "A"}
+    run = lambda q: QUERIES[q](spark, str(tmp_path)).collect()
+    gone = [tuple(x) for x in run("relation_cycle_edges_removed")]
+    assert len(gone) == len(set(gone)) and set(gone) == {(a, b) for a, b in edges - old if a in r.get(b, ())}
+    assert {tuple(x) for x in run("relation_residual_cycles")} == {(c, len(n)) for c, n in want.items()}
+    found = {x["component"]: [int(n) for n in x["cycle"].split(">")] for x in run("representative_cycles")}
+    assert found.keys() == want.keys() and all(c[0] == c[-1] == k and all(e in edges for e in zip(c, c[1:])) for k, c in found.items())
+    assert {x["component"] for x in run("quality_hypernym_loops")} == components(isa).keys() and want
