@@ -14,7 +14,8 @@ points within RADIUS of the split are queried across it. Plain vantage shards al
 between unrelated 64-bit fingerprints spread by only 4 around 32, as much as the radius.
 
 A shard returns a spanning forest of its links, at most one link a point, so groups of copies never become all pairs,
-and no link between two components is lost. Components then run over the fingerprints' smallest doc_ids.
+and no link between two components is lost. Components then run over the fingerprints themselves, and each component takes
+the smallest doc_id of its fingerprints.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; a null doc_id takes part with
 component null unless an id is reachable; repeated rows share everything (rows with one doc_id are one document); an
@@ -44,7 +45,6 @@ SHARD_MOST = 20000
 LEVELS = 6
 RING = 8
 LEAF = 256
-NO_ID = (1 << 63) - 1
 
 
 def fingerprint(text: str | None) -> int:
@@ -188,12 +188,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     fps = add_columns(docs.select("doc_id", "text"), ["text"], "fp long", lambda texts: [[fingerprint(t) for t in texts]]).select("doc_id", "fp")
     fps = scratch.cut(fps)
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    # A class without any id still takes part, under a number that stands for none.
-    points = scratch.cut(classes.select("fp", F.coalesce("least", F.lit(NO_ID)).alias("id")))
-    found = components(spark, links(spark, points))
-    of = points.join(found, points["id"] == found["node"], "left").select(F.col("fp").alias("_fp"), F.coalesce("component", "id").alias("_component"))
+    # A fingerprint is its own node, so classes without any id stay apart.
+    points = scratch.cut(classes.select("fp", "least", F.col("fp").alias("id")))
+    found = components(spark, links(spark, points.select("fp", "id")))
+    placed = scratch.cut(points.join(found, points["id"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("_node")))
+    least = placed.groupBy(F.col("_node").alias("_root")).agg(F.min("least").alias("_component"))
+    of = placed.join(least, F.col("_node") == F.col("_root")).select(F.col("fp").alias("_fp"), "_component")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return fps.join(of, fps["fp"] == of["_fp"]).select("doc_id", hexed.alias("fingerprint"), F.nullif(F.col("_component"), F.lit(NO_ID)).alias("component_id"))
+    return fps.join(of, fps["fp"] == of["_fp"]).select("doc_id", hexed.alias("fingerprint"), F.col("_component").alias("component_id"))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -99,3 +99,12 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(spark, docs).count() == 0
     assert simhash.near_duplicates(spark, docs.select(F.lit(1).cast("long").alias("doc_id"), F.lit("a").alias("text"))).columns == ["doc_id", "fingerprint", "component_id"]
+
+
+def test_classes_without_an_id_do_not_join_others(spark, monkeypatch):
+    codes = {"a": 0, "near a": 1, "b": (1 << 40) - 1, "near b": (1 << 40) - 2, "alone": 0x5555 << 44}
+    monkeypatch.setattr(simhash, "add_columns", lambda df, inputs, fields, fn: df.select("*", F.coalesce(*[F.when(F.col("text") == t, F.lit(fp).cast("long")) for t, fp in codes.items()]).alias("fp")))
+    docs = spark.createDataFrame([(1, "a"), (None, "near a"), (2, "b"), (None, "near b"), (None, "alone")], "doc_id long, text string")
+    got = {r["fingerprint"]: r["component_id"] for r in simhash.near_duplicates(spark, docs).collect()}
+    assert {t: got[f"{fp:016x}"] for t, fp in codes.items()} == {"a": 1, "near a": 1, "b": 2, "near b": 2, "alone": None}
+    assert sorted(r["doc_id"] for r in simhash.keep_one(spark, docs).collect() if r["doc_id"]) == [1, 2]
