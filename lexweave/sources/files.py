@@ -111,9 +111,9 @@ def gloss_tokens(spark: SparkSession, path: str) -> DataFrame:
     return whole.mapInArrow(run, "synset string, ord int, text string, sense string")
 
 
-def align_tokens(text: str, tokens: list[str]) -> list[tuple[int, int]] | None:
-    """Where each token lies in text, one after the other; None if they do not fit in this order."""
-    at, out = 0, []
+def align_tokens(text: str, tokens: list[str], at: int = 0) -> list[tuple[int, int]] | None:
+    """Where each token lies in text from at on, one after the other; None if they do not fit in this order."""
+    out = []
     for token in tokens:
         k = text.find(token, at)
         if k < 0 or text[at:k].strip(" \t\n\"'`()[],.;:-") != "":
@@ -123,28 +123,38 @@ def align_tokens(text: str, tokens: list[str]) -> list[tuple[int, int]] | None:
     return out
 
 
-def align_sentences(text: str, sentences: list[list[tuple[str, str | None]]], most: int = 7) -> list[tuple[int, int, str]] | None:
+def align_sentences(text: str, sentences: list[list[tuple[str, str | None]]]) -> list[tuple[int, int, str]] | None:
     """Spans of the tokens that name a sense, for the first order of the sentences that fits the text; adjacent tokens of
-    one sense make one span."""
-    from itertools import permutations
-
-    orders = permutations(range(len(sentences))) if len(sentences) <= most else [range(len(sentences))]
-    for order in orders:
-        tokens = [t for k in order for t in sentences[k]]
-        places = align_tokens(text, [t for t, _ in tokens])
-        if places is None:
-            continue
-        spans: list[tuple[int, int, str]] = []
-        for (a, b), (_, sense), before in zip(places, tokens, [None, *[s for _, s in tokens]]):
-            if not sense:
-                continue
-            if spans and sense == before and spans[-1][2] == sense:
-                spans[-1] = (spans[-1][0], b, sense)
-            else:
-                spans.append((a, b, sense))
-        return spans
-    return None
+    one sense make one span. A sentence is placed only where it fits, and a state that failed is not tried again."""
+    failed: set[tuple[frozenset[int], int]] = set()
 
+    def place(left: frozenset[int], at: int) -> list[tuple[int, list[tuple[int, int]]]] | None:
+        if not left:
+            return []
+        if (left, at) in failed:
+            return None
+        for k in sorted(left):
+            places = align_tokens(text, [t for t, _ in sentences[k]], at)
+            if places is not None:
+                rest = place(left - {k}, places[-1][1] if places else at)
+                if rest is not None:
+                    return [(k, places), *rest]
+        failed.add((left, at))
+        return None
+
+    found = place(frozenset(range(len(sentences))), 0)
+    if found is None:
+        return None
+    tokens = [t for k, _ in found for t in sentences[k]]
+    spans: list[tuple[int, int, str]] = []
+    for (a, b), (_, sense), before in zip([x for _, p in found for x in p], tokens, [None, *[s for _, s in tokens]]):
+        if not sense:
+            continue
+        if spans and sense == before and spans[-1][2] == sense:
+            spans[-1] = (spans[-1][0], b, sense)
+        else:
+            spans.append((a, b, sense))
+    return spans
 
 
 def gloss_errors(text: str, spans: list[tuple[int, int, str | None]], known: set[str] | None = None) -> list[str]:
