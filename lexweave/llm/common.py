@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 from ..scratch import Scratch, shared_dir
 
-__all__ = ["SPACE", "Scratch", "add_columns", "bounded_batches", "fresh", "held_out", "shared_dir", "table", "without_lines", "word_count"]
+__all__ = ["LAST", "SPACE", "Scratch", "add_columns", "doc_key", "fresh", "held_out", "shared_dir", "steps", "table", "without_lines", "word_count"]
 
 #: Characters between words where a contract speaks of `[^\x20\x09-\x0D]+`.
 SPACE = r"\x20\x09-\x0D"
 
 
+#: Key of documents without an integer id; it sorts after all others.
+LAST = (1 << 63) - 1
+
+
+def doc_key(doc_id: str = "doc_id") -> Column:
+    """doc_id as a number; LAST for null and for ids that are no integers, such rows are told apart by their text."""
+    return F.coalesce(F.col(doc_id).try_cast("long"), F.lit(LAST))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,15 +50,33 @@ def without_lines(text: str, gone: str) -> Column:
     return F.array_join(left, "\n")
 
 
-#: Rows of an Arrow batch where the session does not say: whole texts must fit in memory several times over.
-BATCH_ROWS = 512
+#: Rows and bytes of text that one step of an Arrow function holds as Python objects; a longer text makes a step of its own.
+STEP_ROWS = 512
+STEP_BYTES = 4 << 20
+
 
+def steps(batches, *texts: str):
+    """Arrow batches cut into smaller ones by rows and by the bytes of the named string columns.
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of texts small, unless the session has its own setting."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, None) in (None, "10000"):
-        spark.conf.set(key, BATCH_ROWS)
+    Spark cuts its batches by bytes as well (spark.sql.execution.arrow.maxBytesPerBatch), so a batch is never much larger
+    than its longest row.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        if not batch.num_rows:
+            yield batch
+            continue
+        sizes = np.zeros(batch.num_rows, np.int64)
+        for c in texts:
+            sizes += pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(c))), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(sizes), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = min(max(at + 1, int(np.searchsorted(ends, before + STEP_BYTES, "right"))), at + STEP_ROWS, batch.num_rows)
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -74,13 +101,13 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, fn) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    bounded_batches(df.sparkSession)
     schema = StructType(df.schema.fields + StructType.fromDDL(fields).fields)
     types = to_arrow_schema(StructType.fromDDL(fields)).types
     out_names = schema.names
+    texts = [f.name for f in df.schema if f.name in inputs and f.dataType.simpleString() == "string"]
 
     def run(batches):
-        for batch in batches:
+        for batch in steps(batches, *texts):
             made = fn(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs])
             arrays = [pa.array(v, type=t) for v, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=out_names)

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_columns, bounded_batches, fresh, held_out, table
+from .common import add_columns, fresh, held_out, steps, table
 
 BUCKETS = 1 << 16
 DOCS_PER_LANG = 2000
@@ -62,7 +62,6 @@ def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> tuple[list[str],
 
     What reaches the driver is bounded by languages x BUCKETS counts, whatever the input's size.
     """
-    bounded_batches(docs.sparkSession)
     known = docs.filter(F.col("lang").isNotNull() & ~held_out())
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
@@ -71,13 +70,13 @@ def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> tuple[list[str],
     share = F.lit(0)
     for lang in langs:
         share = F.when(F.col("lang") == lang, min(1 << 20, math.ceil(docs_per_lang / sizes[lang] * (1 << 20)))).otherwise(share)
-    sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).select("lang", "text")
+    sample = known.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share).select("lang", "text")
 
     def count(batches):
         import pyarrow as pa
 
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in steps(batches, "text"):
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if got := trigrams(text):
                     cells, n = got

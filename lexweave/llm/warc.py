@@ -29,7 +29,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_batches, shared_dir, table
+from .common import Scratch, shared_dir, steps, table
 
 CELLS = 16384
 SHARD_BYTES = 16 << 20
@@ -129,7 +129,6 @@ def _shards(keyed: DataFrame) -> list[tuple[int, int]]:
 
 def write(spark: SparkSession, pages: DataFrame, out: str) -> str:
     """Archive (page_id, url, html) under the folder out; returns the path of the manifest."""
-    bounded_batches(spark)
     scratch = Scratch(spark, "warc")
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", F.coalesce(F.col("page_id").cast("long"), F.lit(LAST)).alias("_pid"), payload.alias("payload"))
@@ -168,7 +167,7 @@ def write(spark: SparkSession, pages: DataFrame, out: str) -> str:
 
         number, shard = 0, None
         of, first, first_url, begun = None, None, None, False
-        for batch in batches:
+        for batch in steps(batches, "payload"):
             for r in batch.to_pylist():
                 if r["_first"] is not None:
                     of, first, first_url, begun = (r["_pid"], r["digest"]), r["_first"], r["_first_url"], False

@@ -1,23 +1,53 @@
 import random
 
 import numpy as np
+import xxhash
 
 from lexweave.llm import paragraphs
-
-
-def plain_sets(rows):
-    """(doc, line) -> (words joined, shingle set) of every paragraph."""
-    out = {}
-    for d, t in rows:
-        for k, line in enumerate((t or "").split("\n")):
-            w = line.lower().split()
-            if len(w) >= paragraphs.MIN_WORDS:
-                out[d, k] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+from lexweave.llm.paragraphs import ANCHOR, LEAST, SHINGLE, WINDOW
+
+M64 = (1 << 64) - 1
+
+
+def plain_mix(h):
+    h = ((h ^ (h >> 33)) * 0xFF51AFD7ED558CCD) & M64
+    return h ^ (h >> 29)
+
+
+def plain_paragraphs(text):
+    """(first, end) of the paragraphs of a text without repeated anchors, word by word."""
+    words = (text or "").lower().split()
+    if not words:
+        return set()
+    hashes = [xxhash.xxh3_64_intdigest(w) for w in words]
+    g = [plain_mix(sum(hashes[i + k] * int(paragraphs._STEP[k]) for k in range(ANCHOR)) & M64) for i in range(len(words) - ANCHOR + 1)]
+    cuts = {0, len(words)}
+    for i in range(len(g) - WINDOW + 1):
+        least = min(g[i : i + WINDOW])
+        cuts |= {i + j for j in range(WINDOW) if g[i + j] == least}
+    cuts, out = sorted(cuts), set()
+    for a in cuts[:-1]:
+        ends = [c for c in cuts if c >= a + LEAST]
+        if ends or a == 0:
+            out.add((a, ends[0] if ends else len(words)))
+    at = 0
+    for line in text.lower().split("\n"):
+        n = len(line.split())
+        if n:
+            out.add((at, at + n))
+        at += n
     return out
 
 
 def plain_clusters(rows):
-    sets = plain_sets(rows)
+    """(doc, first, end) -> the one that stays, by comparing all pairs."""
+    sets, words = {}, {}
+    for d, t in rows:
+        w = (t or "").lower().split()
+        for a, b in plain_paragraphs(t):
+            own = w[a:b]
+            words[d, a, b] = own
+            sets[d, a, b] = {tuple(own[i : i + SHINGLE]) for i in range(max(1, len(own) - SHINGLE + 1))}
     keys = sorted(sets)
     up = {k: k for k in keys}
 
@@ -26,26 +56,41 @@ def plain_clusters(rows):
             i = up[i]
         return i
 
-    for a in keys:
-        for b in keys:
-            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9:
+    for n, a in enumerate(keys):
+        for b in keys[n + 1 :]:
+            met = len(sets[a] & sets[b])
+            if met and (words[a] == words[b] or min(len(words[a]), len(words[b])) >= SHINGLE and met >= 0.8 * len(sets[a] | sets[b]) - 1e-9):
                 x, y = root(a), root(b)
                 up[max(x, y)] = min(x, y)
     return {k: root(k) for k in keys}
 
 
+def plain_verdicts(rows):
+    """doc -> (removed words, documents that hold what stays)."""
+    length = {d: len((t or "").split()) for d, t in rows}
+    gone, of = {d: set() for d, _ in rows}, {d: set() for d, _ in rows}
+    for (d, a, b), keep in plain_clusters(rows).items():
+        if keep != (d, a, b) and (b - a >= LEAST or b - a == length[d]):
+            gone[d] |= set(range(max(a, keep[2]) if keep[0] == d else a, b))
+            of[d].add(keep[0])
+    return gone, of
+
+
 def corpus(rng, n=60):
+    """Texts with passages of 51 to 90 words between other words, in and across lines, some with words replaced."""
     words = [f"w{i}" for i in range(400)]
-    passages = [rng.choices(words, k=rng.randrange(26, 90)) for _ in range(12)]
+    passages = [rng.choices(words, k=rng.randrange(51, 90)) for _ in range(12)]
     rows = []
     for d in range(n):
-        lines = [" ".join(rng.choices(words, k=rng.randrange(1, 60))) for _ in range(rng.randrange(4))]
+        w = []
         for _ in range(rng.randrange(3)):
+            w += rng.choices(words, k=rng.randrange(60))
             p = list(rng.choice(passages))
-            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+            for _ in range(rng.choice([0, 0, 1, 2])):
                 p[rng.randrange(len(p))] = rng.choice(words).upper()
-            lines.insert(rng.randrange(len(lines) + 1), "  ".join(p))
-        rows.append((d, "\n".join(lines)))
+            w += p
+        w += rng.choices(words, k=rng.randrange(60))
+        rows.append((d, "".join(x + rng.choice([" "] * 30 + ["\n", "  "]) for x in w)))
     return rows
 
 
@@ -53,31 +98,68 @@ def test_bands_reach_the_recall():
     assert 1 - (1 - 0.8**paragraphs.ROWS) ** paragraphs.BANDS >= paragraphs.RECALL
 
 
-def test_equal_paragraphs_have_equal_signatures():
+def test_paragraphs_like_the_plain_model():
+    rng = random.Random(2)
+    texts = [t for _, t in corpus(rng)] + ["", None, "a", "a b c\n\n d", " ".join(f"x{i}" for i in range(3000))]
+    rng.shuffle(texts)
+    values, starts, lines = paragraphs.tokens(texts, paragraphs._Hashes())
+    got = paragraphs.paragraphs_of(values, starts, lines)
+    for k, t in enumerate(texts):
+        own = got[(got[:, 0] >= starts[k]) & (got[:, 0] < starts[k + 1])] - starts[k]
+        assert set(map(tuple, own.tolist())) == plain_paragraphs(t), t
+        assert {i for a, b in own for i in range(a, b)} == set(range(starts[k + 1] - starts[k]))
+
+
+def test_repeated_words_make_few_paragraphs():
+    for text in ("x " * 60000, "a b " * 30000):
+        values, starts, lines = paragraphs.tokens([text], paragraphs._Hashes())
+        assert len(paragraphs.paragraphs_of(values, starts, lines)) < 60000 / WINDOW * 3
+
+
+def test_signatures_do_not_depend_on_the_batch():
     rng = random.Random(1)
-    lists = [[rng.choice("abcdef") for _ in range(rng.randrange(25, 80))] for _ in range(50)]
-    ids, bands = paragraphs.signatures(lists + lists[:10])
-    alone = [paragraphs.signatures([x]) for x in lists]
-    assert (ids[50:] == ids[:10]).all() and (bands[50:] == bands[:10]).all()
-    assert all(ids[i] == a[0][0] and (bands[i] == a[1][0]).all() for i, a in enumerate(alone))
+    texts = [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(1, 80))) for _ in range(50)]
+    values, starts, _ = paragraphs.tokens(texts, paragraphs._Hashes())
+    ids, bands = paragraphs.signatures(values, np.stack((starts[:-1], starts[1:]), 1))
+    at = 0
+    for k, t in enumerate(texts):
+        own, one = paragraphs.signatures(paragraphs.tokens([t], paragraphs._Hashes())[0], np.array([[0, len(t.split())]]))
+        assert ids[k] == own[0] and len(one) == (len(t.split()) >= SHINGLE)
+        assert (bands[at : at + len(one)] == one).all()
+        at += len(one)
 
 
 def test_against_brute_force(spark, monkeypatch):
     rows = corpus(random.Random(7))
-    want = plain_clusters(rows)
-    extra = [(900, None), (901, ""), (902, "x " * 60000), rows[3]]
-    docs = spark.createDataFrame([(d, t, True) for d, t in rows + extra], "doc_id long, text string, removed boolean").repartition(4)
-    for group in (1500, 3):
+    gone, of = plain_verdicts(rows)
+    extra = [(900, None), (901, ""), rows[3]]
+    docs = spark.createDataFrame([(d, t, True, 1) for d, t in rows + extra], "doc_id long, text string, spans boolean, _d int").repartition(4)
+    for group in (500, 3):
         monkeypatch.setattr(paragraphs, "GROUP", group)
         got = paragraphs.mark_repeats(spark, docs).collect()
-        assert len(got) == len(rows) + 4
+        assert len(got) == len(rows) + 3
         for r in got:
-            gone = {k for (d, k), keep in want.items() if d == r["doc_id"] and keep != (d, k)}
-            assert set(r["_removed"]) == gone, (group, r["doc_id"])
-            assert set(r["repeats_of"]) == {want[r["doc_id"], k][0] for k in gone}
+            removed = {i for x in r["_spans"] for i in range(x["first"], x["last"])}
+            assert removed == gone.get(r["doc_id"], set()), (group, r["doc_id"])
+            assert r["n_removed"] == len(removed) and set(r["repeats_of"]) == of.get(r["doc_id"], set())
+    assert sum(map(len, gone.values())) > 1000
     left = {r["doc_id"]: r["text"] for r in paragraphs.remove_repeats(spark, docs).collect()}
-    after = plain_clusters([(d, left[d]) for d, _ in rows])
-    assert all(k == v for k, v in after.items()) and left[900] is None and left[901] == ""
+    for d, t in rows:
+        assert left[d].split() == [w for i, w in enumerate(t.split()) if i not in gone[d]]
+    assert left[900] is None and left[901] == ""
+
+
+def test_passages_inside_and_across_lines_are_caught(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    passage = rng.choices(words, k=60)
+    rows = []
+    for d in range(40):
+        w = rng.choices(words, k=rng.randrange(150)) + (passage if d % 2 else []) + rng.choices(words, k=rng.randrange(20, 150))
+        rows.append((d, " ".join(x + rng.choice([""] * 12 + ["\n"]) for x in w)))
+    got = {r["doc_id"]: r for r in paragraphs.mark_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(1 in got[d]["repeats_of"] and got[d]["n_removed"] <= 60 for d in range(3, 40, 2))
+    assert all(not got[d]["classes"] for d in range(0, 40, 2)) and got[1]["n_removed"] == 0 and got[1]["classes"]
 
 
 def test_grow_links_connects_like_all_pairs():
@@ -108,17 +190,18 @@ def test_empty(spark):
     assert paragraphs.mark_repeats(spark, docs).count() == 0
 
 
-def test_short_paragraphs_take_part(spark):
+def test_short_paragraphs_and_odd_ids(spark):
     near = [f"w{i}" for i in range(20)]
-    texts = ["One line\nof.\n\n" + " ".join(near), " one  LINE\nof.\n \nalone", "of.\nOne\n" + " ".join([*near[:-1], "x"]), "a b c d e\na b c d\na b c d e f", "a b c d"]
+    texts = ["One line\nof.\n\n" + " ".join(near), " one  LINE\nof.\n \nalone", "of.\nOne\n" + " ".join([*near[:-1], "x"]), "a b c d e\na b c d", "a b c d"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: (r["removed"], r["repeats_of"]) for r in paragraphs.mark_repeats(spark, docs).collect()}
-    assert got == {0: ([], []), 1: ([0, 1], [0]), 2: ([0, 2], [0]), 3: ([], []), 4: ([0], [3])}
+    got = {r["doc_id"]: (r["n_removed"], r["repeats_of"], r["short"]) for r in paragraphs.mark_repeats(spark, docs).collect()}
+    assert got == {0: (0, [], ["0:0", "0:2"]), 1: (0, [], ["0:0", "0:2"]), 2: (20, [0], ["0:2"]), 3: (0, [], ["3:5"]), 4: (4, [3], [])}
+    odd = spark.createDataFrame([(None, " ".join(near)), ("x7", " ".join(near) + "!"), ("7", " ".join(near)), (None, " ".join(near))], "doc_id string, text string")
+    got = [(r["doc_id"], r["n_removed"], r["repeats_of"]) for r in paragraphs.mark_repeats(spark, odd).collect()]
+    assert sorted(got, key=str) == sorted([(None, 20, [7]), (None, 20, [7]), ("7", 0, []), ("x7", 20, [7])], key=str)
 
 
-def test_signatures_of_mixed_lengths():
-    lists = [["a"], list("abcde"), list("ab"), list("abcdefgh"), list("abcd")]
-    ids, bands = paragraphs.signatures(lists)
-    alone = [paragraphs.signatures([x]) for x in lists]
-    assert ids.tolist() == [a[0][0] for a in alone] and [len(a[1]) for a in alone] == [0, 1, 0, 1, 0]
-    assert (bands == np.concatenate([a[1] for a in alone])).all()
+def test_cutting_spans():
+    text = "a b\nc d  e\n\nf g"
+    for spans, left in (([], text), ([(0, 2)], "c d  e\n\nf g"), ([(1, 2)], "a\nc d  e\n\nf g"), ([(2, 3), (4, 5)], "a b\nd\n\nf g"), ([(5, 7)], "a b\nc d  e\n\n"), ([(0, 7)], "")):
+        assert paragraphs.without_spans(text, spans) == left, spans
