@@ -1,19 +1,21 @@
 """Substring dedup by paragraph MinHash banding.
 
-A paragraph is a run of words of the lower-cased text, cut by content: a word position is an anchor if the hash of its
-next ANCHOR words is the least among WINDOW neighbours, so equal passages have equal anchors wherever they stand, in or across lines.
-From the text's start and from each anchor a paragraph reaches to the first anchor LEAST words on or more, else to the
-text's end; these overlap and cover the whole text. Every line that is not blank is a paragraph too. An embedded passage
-of 2 * WINDOW + LEAST + ANCHOR - 2 = 55 words always holds a whole paragraph, one of 51 words in 97 of 100 cases.
-
-Equal paragraphs are one class, whatever their length. Classes are compared by the Jaccard similarity of their sets of
-SHINGLE = 5 word shingles; THRESHOLD = 0.8 or more links two classes that collide in at least one band of their MinHash
-signatures. A paragraph of fewer than SHINGLE words is one shingle as a whole, which only equal paragraphs share, so it
-needs no bands. Bands come from ``tune``: the fewest of ROWS rows that find a pair at the threshold with probability
-RECALL or more; a passage has several paragraphs, so passages are found more surely than that. Components of the links
-are removal clusters: of each, the paragraph that comes first in (doc_id, text hash, first word) stays and the others go,
-except words that stay themselves in the same text. A document's removed paragraphs are merged to spans of words.
-A repeated paragraph of under LEAST words that is not a whole text is listed (short) and stays in place: a phrase, not a passage.
+A paragraph is a line that is not blank (white space collapsed, lower-cased). Equal paragraphs are one class, whatever
+their length. Classes are compared by the Jaccard similarity of their sets of SHINGLE = 5 word shingles; THRESHOLD = 0.8 or
+more links two classes that collide in at least one band of their MinHash signatures. A paragraph of fewer than SHINGLE
+words is one shingle as a whole, which only equal paragraphs share, so it needs no bands. Bands come from ``tune``: the
+fewest of ROWS rows that find a pair at the threshold with probability RECALL or more.
+
+Passages begin and end inside lines and run across them, so every text is also cut by content into pieces: a word position
+is an anchor if the hash of its next ANCHOR words is the least among WINDOW neighbours, wherever that stands, and pieces
+reach from the start and each anchor to the next one. Equal passages have equal anchors, so all their pieces but the two at the
+edges are equal too; pieces are classes by equality (a band of all their shingles). Repeated pieces that follow each other are one repeat. An embedded
+passage of 51 words holds LEAST words between its anchors in 99 of 100 cases, one of 60 always; up to WINDOW + ANCHOR words at
+its edges may be left.
+
+Components of the links are removal clusters: of each, the paragraph or piece that comes first in (doc_id, text hash, first
+word) stays and the others go. A document's removals are merged to spans of words. A repeat of under LEAST words that is
+not a whole text is listed (short) and stays in place: a phrase, not a passage.
 
 Buckets never become all pairs. Buckets with the same members are one. A bucket of up to GROUP classes is searched in
 one task that grows clusters from a seed and compares a member only with those not yet in a cluster, so a tight group
@@ -22,7 +24,7 @@ smallest; those that link to it need no comparison with each other, and the rest
 GROUP, each a task of its own. Nothing is capped and no link between two components is lost.
 
 Defined cases: null and empty texts have no paragraphs and never lose anything; a very long text is one row like any
-other, its paragraphs are many short rows; rows equal in doc_id and text are one document and get the same verdict;
+other, its pieces are many short rows; rows equal in doc_id and text are one document and get the same verdict;
 ties between copies go to the smaller doc_id, then text hash, then first word; null doc_ids, and ids that are no integers, come last; classes are told
 apart by a 64-bit hash of the paragraph; an empty table gives an empty result; extra columns stay, also where they have the names of ours.
 """
@@ -42,11 +44,11 @@ from .components import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
-ROWS = 2
+ROWS = 3
 RECALL = 0.99
 ANCHOR = 3
-WINDOW = 22
-LEAST = 10
+WINDOW = 16
+LEAST = 20
 GROUP = 500
 
 
@@ -132,40 +134,34 @@ def anchors(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate((firsts, at[stays])))
 
 
-def paragraphs_of(values: np.ndarray, starts: np.ndarray, lines: np.ndarray) -> np.ndarray:
-    """Distinct (first, end) of the paragraphs of all texts, sorted."""
-    if not len(values):
-        return np.zeros((0, 2), np.int64)
+def pieces_of(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(first, end) of the pieces between the anchors of all texts."""
     at = anchors(values, starts)
-    ends = starts[np.searchsorted(starts, at, "right")]
-    to = np.append(at, len(values))
-    to = to[np.searchsorted(to, np.minimum(at + LEAST, len(values)))]
-    opens = np.isin(at, starts)
-    whole = np.where(opens & ((to > ends) | (at + LEAST > ends)), ends, to)
-    fits = opens | ((at + LEAST <= ends) & (to <= ends))
-    return np.unique(np.concatenate((np.stack((at[fits], whole[fits]), 1), lines)), axis=0)
+    return np.stack((at, np.append(at[1:], len(values))), 1) if len(at) else np.zeros((0, 2), np.int64)
 
 
-def signatures(values: np.ndarray, ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class ids of the ranges of words, and band hashes (x BANDS) of those with SHINGLE words or more."""
+def class_ids(values: np.ndarray, ranges: np.ndarray, kind: int) -> np.ndarray:
+    """One number for each range of words, equal for equal words; lines and pieces (kind) do not share numbers."""
     digest, raw = xxhash.xxh3_64_intdigest, memoryview(values.view(np.uint8))
-    ids = np.fromiter((digest(raw[8 * a : 8 * b]) for a, b in ranges.tolist()), np.uint64, len(ranges)).view(np.int64)
-    some = ranges[ranges[:, 1] - ranges[:, 0] >= SHINGLE]
-    if not len(some):
-        return ids, np.zeros((0, BANDS), np.int64)
+    return np.fromiter((digest(raw[8 * a : 8 * b], kind) for a, b in ranges.tolist()), np.uint64, len(ranges)).view(np.int64)
+
+
+def signatures(values: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    """Band hashes (x BANDS) of the ranges of words, each of SHINGLE words or more."""
+    bands = np.zeros((len(ranges), BANDS), np.uint64)
+    if not len(ranges):
+        return bands.view(np.int64)
     rolled = _rolled(values, SHINGLE)
-    cuts = np.stack((some[:, 0], some[:, 1] - SHINGLE + 1), 1).reshape(-1)
-    bands = np.zeros((len(some), BANDS), np.uint64)
+    cuts = np.stack((ranges[:, 0], ranges[:, 1] - SHINGLE + 1), 1).reshape(-1)
     for k, (a, b) in enumerate(zip(_A, _B)):
         hashed = np.append(_mix(rolled * a + b), np.uint64(0xFFFFFFFFFFFFFFFF))
         band = k // ROWS
         bands[:, band] = _mix(bands[:, band] * np.uint64(31) + np.minimum.reduceat(hashed, cuts)[::2])
-    return ids, _mix(bands + _BAND).view(np.int64)
+    return _mix(bands + _BAND).view(np.int64)
 
 
 def paragraph_table(docs: DataFrame) -> DataFrame:
-    """(d, h, s, e, full, id, bands) of every paragraph: words s to e of the text; no bands under SHINGLE words; full: of LEAST
-    words or more, or a whole text."""
+    """(d, h, n, s, e, piece, id, bands) of every line and piece: words s to e of the text's n; bands of lines of SHINGLE words or more."""
 
     def run(batches):
         import pyarrow as pa
@@ -174,21 +170,21 @@ def paragraph_table(docs: DataFrame) -> DataFrame:
         for batch in steps(batches, "text"):
             d, h, texts = (batch.column(i) for i in range(3))
             values, starts, lines = tokens(texts.to_pylist(), hashes)
-            ranges = paragraphs_of(values, starts, lines)
-            ids, bands = signatures(values, ranges)
+            pieces = pieces_of(values, starts)
+            ranges = np.concatenate((lines, pieces))
+            banded = ranges[:, 1] - ranges[:, 0] >= SHINGLE
+            banded[len(lines) :] = False
+            ids = np.concatenate((class_ids(values, lines, 0), class_ids(values, pieces, 1)))
+            bands = signatures(values, ranges[banded])
             rows = np.searchsorted(starts, ranges[:, 0], "right") - 1
-            sizes = ranges[:, 1] - ranges[:, 0]
-            full = (sizes >= LEAST) | (sizes == starts[rows + 1] - starts[rows])
-            ends = np.concatenate(([0], np.cumsum(BANDS * (sizes >= SHINGLE))))
+            ends = np.concatenate(([0], np.cumsum(BANDS * banded)))
             listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands.reshape(-1)))
-            place, rows = ranges - starts[rows][:, None], pa.array(rows)
-            yield pa.RecordBatch.from_arrays(
-                [d.take(rows), h.take(rows), pa.array(place[:, 0].astype(np.int32)), pa.array(place[:, 1].astype(np.int32)), pa.array(full), pa.array(ids), listed],
-                names=["d", "h", "s", "e", "full", "id", "bands"],
-            )
+            ints = [x.astype(np.int32) for x in (starts[rows + 1] - starts[rows], ranges[:, 0] - starts[rows], ranges[:, 1] - starts[rows])]
+            kind, rows = pa.array(np.arange(len(ranges)) >= len(lines)), pa.array(rows)
+            yield pa.RecordBatch.from_arrays([d.take(rows), h.take(rows), *map(pa.array, ints), kind, pa.array(ids), listed], names=["d", "h", "n", "s", "e", "piece", "id", "bands"])
 
     source = docs.filter(F.col("text").isNotNull()).select(doc_key().alias("d"), F.xxhash64("text").alias("h"), "text")
-    return source.mapInArrow(run, "d long, h long, s int, e int, full boolean, id long, bands array<long>")
+    return source.mapInArrow(run, "d long, h long, n int, s int, e int, piece boolean, id long, bands array<long>")
 
 
 def shingles(text: str) -> np.ndarray:
@@ -347,32 +343,40 @@ def class_links(spark: SparkSession, docs: DataFrame, every: DataFrame, scratch:
 
 
 def occurrences(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(d, h, s, e, full, component, keep) of every paragraph that has a copy; keep = (d, h, s, e) of the one that stays."""
+    """(d, h, s, e, full, component, keep) of every line and piece that has a copy; keep = (d, h, s, e) of the one that stays;
+    full: part of a repeat of LEAST words or more, or of a whole text."""
     scratch = Scratch(spark, "paragraphs")
-    every = scratch.cut(paragraph_table(docs))
-    links = scratch.cut(class_links(spark, docs, every, scratch))
+    banded = scratch.cut(paragraph_table(docs))
+    links = scratch.cut(class_links(spark, docs, banded, scratch))
+    every = scratch.cut(banded.drop("bands"))
+    scratch.drop(banded)
     found = components(spark, links)
     equal = every.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id", F.col("id").alias("component"), F.lit(1).alias("own"))
     known = equal.unionByName(found.select(F.col("node").alias("id"), "component", F.lit(0).alias("own")))
     known = scratch.cut(known.groupBy(F.col("id").alias("_id")).agg(F.min_by("component", "own").alias("component")))
-    of = scratch.cut(every.drop("bands").join(known, F.col("id") == F.col("_id")).select("d", "h", "s", "e", "full", "component").distinct())
+    of = every.join(known, F.col("id") == F.col("_id")).select("d", "h", "n", "s", "e", "piece", "component").distinct()
+    # Pieces that follow each other are one repeat; a line stands alone.
+    order = Window.partitionBy("d", "h", "piece").orderBy("s")
+    opens = ~F.col("piece") | (F.col("s") > F.coalesce(F.lag("e").over(order), F.lit(-1)))
+    of = of.withColumn("run", F.sum(opens.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    words = F.sum(F.col("e") - F.col("s")).over(Window.partitionBy("d", "h", "piece", "run"))
+    of = of.withColumn("full", (words >= LEAST) | (words == F.col("n"))).drop("run", "n")
+    of = scratch.cut(of)
     scratch.drop(every)
     first = of.groupBy(F.col("component").alias("_component")).agg(F.min(F.struct("d", "h", "s", "e")).alias("keep"))
     return scratch.cut(of.join(first, F.col("component") == F.col("_component")).drop("_component"))
 
 
 def verdicts(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(d, h, spans, n_removed, repeats_of, classes, short) per document with a repeated paragraph: spans of words to remove
+    """(d, h, spans, n_removed, repeats_of, classes, short) per document with a repeat: spans of words to remove
     and their words' number, ids of documents that hold what stays, the clusters ("doc_id:first word" of what stays) that
     the document has part in, and those of phrases under LEAST words, which stay in place."""
-    at = F.struct("d", "h", "s", "e")
-    of = occurrences(spark, docs).withColumn("other", at != F.col("keep"))
-    own = (F.col("d") == F.col("keep.d")) & (F.col("h") == F.col("keep.h"))
-    gone = of.filter("full AND other").select("d", "h", F.when(own, F.greatest("s", "keep.e")).otherwise(F.col("s")).alias("first"), F.col("e").alias("last")).filter("first < last")
-    order = Window.partitionBy("d", "h").orderBy("first", "last")
-    fresh_span = F.col("first") > F.coalesce(F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
-    gone = gone.withColumn("opens", fresh_span.cast("int")).withColumn("span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    gone = gone.groupBy("d", "h", "span").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    of = occurrences(spark, docs).withColumn("other", F.struct("d", "h", "s", "e") != F.col("keep"))
+    order = Window.partitionBy("d", "h").orderBy("s", "e")
+    gone = of.filter("full AND other").select("d", "h", "s", "e")
+    opens = F.col("s") > F.coalesce(F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
+    gone = gone.withColumn("opens", opens.cast("int")).withColumn("span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    gone = gone.groupBy("d", "h", "span").agg(F.min("s").alias("first"), F.max("e").alias("last"))
     gone = gone.groupBy(F.col("d").alias("_d"), F.col("h").alias("_h")).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"), F.sum(F.col("last") - F.col("first")).alias("n_removed"))
     keeper = F.when(F.col("keep.d") != LAST, F.col("keep.d"))
     name = F.concat(F.coalesce(keeper.cast("string"), F.lit("null")), F.lit(":"), F.col("keep.s"))

@@ -14,41 +14,37 @@ def plain_mix(h):
     return h ^ (h >> 29)
 
 
-def plain_paragraphs(text):
-    """(first, end) of the paragraphs of a text without repeated anchors, word by word."""
+def plain_pieces(text):
+    """(first, end) of the pieces of a text without repeated anchors, word by word."""
     words = (text or "").lower().split()
-    if not words:
-        return set()
     hashes = [xxhash.xxh3_64_intdigest(w) for w in words]
     g = [plain_mix(sum(hashes[i + k] * int(paragraphs._STEP[k]) for k in range(ANCHOR)) & M64) for i in range(len(words) - ANCHOR + 1)]
     cuts = {0, len(words)}
     for i in range(len(g) - WINDOW + 1):
         least = min(g[i : i + WINDOW])
         cuts |= {i + j for j in range(WINDOW) if g[i + j] == least}
-    cuts, out = sorted(cuts), set()
-    for a in cuts[:-1]:
-        ends = [c for c in cuts if c >= a + LEAST]
-        if ends or a == 0:
-            out.add((a, ends[0] if ends else len(words)))
-    at = 0
-    for line in text.lower().split("\n"):
+    cuts = sorted(cuts)
+    return list(zip(cuts[:-1], cuts[1:]))
+
+
+def plain_lines(text):
+    at, out = 0, []
+    for line in (text or "").split("\n"):
         n = len(line.split())
-        if n:
-            out.add((at, at + n))
+        out += [(at, at + n)] * (n > 0)
         at += n
     return out
 
 
 def plain_clusters(rows):
-    """(doc, first, end) -> the one that stays, by comparing all pairs."""
-    sets, words = {}, {}
+    """(is piece, doc, first, end) -> the one that stays, by comparing all pairs of lines and all pieces."""
+    words = {}
     for d, t in rows:
         w = (t or "").lower().split()
-        for a, b in plain_paragraphs(t):
-            own = w[a:b]
-            words[d, a, b] = own
-            sets[d, a, b] = {tuple(own[i : i + SHINGLE]) for i in range(max(1, len(own) - SHINGLE + 1))}
-    keys = sorted(sets)
+        for piece, found in ((False, plain_lines(t)), (True, plain_pieces(t))):
+            words |= {(piece, d, a, b): w[a:b] for a, b in found}
+    sets = {k: {tuple(w[i : i + SHINGLE]) for i in range(max(1, len(w) - SHINGLE + 1))} for k, w in words.items()}
+    keys = sorted(words)
     up = {k: k for k in keys}
 
     def root(i):
@@ -58,21 +54,37 @@ def plain_clusters(rows):
 
     for n, a in enumerate(keys):
         for b in keys[n + 1 :]:
-            met = len(sets[a] & sets[b])
-            if met and (words[a] == words[b] or min(len(words[a]), len(words[b])) >= SHINGLE and met >= 0.8 * len(sets[a] | sets[b]) - 1e-9):
+            near = not a[0] and not b[0] and min(len(words[a]), len(words[b])) >= SHINGLE and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9
+            if a[0] == b[0] and (words[a] == words[b] or near):
                 x, y = root(a), root(b)
                 up[max(x, y)] = min(x, y)
-    return {k: root(k) for k in keys}
+    members = {}
+    for k in keys:
+        members.setdefault(root(k), []).append(k)
+    return {k: r for r, ks in members.items() if len(ks) > 1 for k in ks}
 
 
 def plain_verdicts(rows):
     """doc -> (removed words, documents that hold what stays)."""
-    length = {d: len((t or "").split()) for d, t in rows}
+    keep = plain_clusters(rows)
     gone, of = {d: set() for d, _ in rows}, {d: set() for d, _ in rows}
-    for (d, a, b), keep in plain_clusters(rows).items():
-        if keep != (d, a, b) and (b - a >= LEAST or b - a == length[d]):
-            gone[d] |= set(range(max(a, keep[2]) if keep[0] == d else a, b))
-            of[d].add(keep[0])
+    for d, t in rows:
+        runs = [[x] for x in plain_lines(t) if (False, d, *x) in keep]
+        for x in plain_pieces(t):
+            if (True, d, *x) not in keep:
+                continue
+            if runs and (True, d, *runs[-1][-1]) in keep and runs[-1][-1][1] == x[0] and runs[-1][0] not in plain_lines(t):
+                runs[-1].append(x)
+            else:
+                runs.append([x])
+        for run in runs:
+            n = run[-1][1] - run[0][0]
+            for x in run if n >= LEAST or n == len((t or "").split()) else []:
+                for piece in (False, True):
+                    first = keep.get((piece, d, *x))
+                    if first and first[1:] != (d, *x):
+                        gone[d] |= set(range(*x))
+                        of[d].add(first[1])
     return gone, of
 
 
@@ -98,35 +110,33 @@ def test_bands_reach_the_recall():
     assert 1 - (1 - 0.8**paragraphs.ROWS) ** paragraphs.BANDS >= paragraphs.RECALL
 
 
-def test_paragraphs_like_the_plain_model():
+def test_pieces_like_the_plain_model():
     rng = random.Random(2)
     texts = [t for _, t in corpus(rng)] + ["", None, "a", "a b c\n\n d", " ".join(f"x{i}" for i in range(3000))]
     rng.shuffle(texts)
     values, starts, lines = paragraphs.tokens(texts, paragraphs._Hashes())
-    got = paragraphs.paragraphs_of(values, starts, lines)
+    got = paragraphs.pieces_of(values, starts)
     for k, t in enumerate(texts):
         own = got[(got[:, 0] >= starts[k]) & (got[:, 0] < starts[k + 1])] - starts[k]
-        assert set(map(tuple, own.tolist())) == plain_paragraphs(t), t
-        assert {i for a, b in own for i in range(a, b)} == set(range(starts[k + 1] - starts[k]))
+        assert list(map(tuple, own.tolist())) == plain_pieces(t), t
+        assert list(map(tuple, (lines[(lines[:, 0] >= starts[k]) & (lines[:, 0] < starts[k + 1])] - starts[k]).tolist())) == plain_lines(t)
 
 
-def test_repeated_words_make_few_paragraphs():
+def test_repeated_words_make_few_pieces():
     for text in ("x " * 60000, "a b " * 30000):
-        values, starts, lines = paragraphs.tokens([text], paragraphs._Hashes())
-        assert len(paragraphs.paragraphs_of(values, starts, lines)) < 60000 / WINDOW * 3
+        values, starts, _ = paragraphs.tokens([text], paragraphs._Hashes())
+        assert len(paragraphs.pieces_of(values, starts)) < 60000 / WINDOW * 3
 
 
 def test_signatures_do_not_depend_on_the_batch():
     rng = random.Random(1)
-    texts = [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(1, 80))) for _ in range(50)]
-    values, starts, _ = paragraphs.tokens(texts, paragraphs._Hashes())
-    ids, bands = paragraphs.signatures(values, np.stack((starts[:-1], starts[1:]), 1))
-    at = 0
+    texts = [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(SHINGLE, 80))) for _ in range(50)]
+    values, starts, lines = paragraphs.tokens(texts, paragraphs._Hashes())
+    ids, bands = paragraphs.class_ids(values, lines, 0), paragraphs.signatures(values, lines)
     for k, t in enumerate(texts):
-        own, one = paragraphs.signatures(paragraphs.tokens([t], paragraphs._Hashes())[0], np.array([[0, len(t.split())]]))
-        assert ids[k] == own[0] and len(one) == (len(t.split()) >= SHINGLE)
-        assert (bands[at : at + len(one)] == one).all()
-        at += len(one)
+        own, _, line = paragraphs.tokens([t], paragraphs._Hashes())
+        assert ids[k] == paragraphs.class_ids(own, line, 0)[0] != paragraphs.class_ids(own, line, 1)[0]
+        assert (bands[k] == paragraphs.signatures(own, line)[0]).all()
 
 
 def test_against_brute_force(spark, monkeypatch):
