@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import Scratch, shared_dir
 
-__all__ = ["LAST", "SPACE", "Scratch", "add_columns", "doc_key", "fresh", "held_out", "shared_dir", "steps", "table", "without_lines", "word_count"]
+__all__ = ["LAST", "SPACE", "Scratch", "add_columns", "doc_key", "fresh", "held_out", "join_counted", "shared_dir", "steps", "table", "without_lines", "word_count"]
 
 #: Characters between words where a contract speaks of `[^\x20\x09-\x0D]+`.
 SPACE = r"\x20\x09-\x0D"
@@ -31,6 +31,25 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+#: A key with more than one row in HOT_PART is hot, so there are fewer than HOT_PART hot keys.
+HOT_PART = 1000
+
+
+def join_counted(many: DataFrame, one: DataFrame, key: str, n: str) -> DataFrame:
+    """Inner join on key of many rows a key with one row a key, whose column n is the key's number of rows in many.
+
+    Rows of hot keys meet a broadcast list of under HOT_PART rows and are not shuffled, so none of them makes a large task.
+    n is dropped. Both sides are read twice: give tables.
+    """
+    inner = f"_{key}_of_one"
+    limit = many.count() // HOT_PART
+    one = one.withColumnRenamed(key, inner)
+    hot, rest = one.filter(F.col(n) > limit), one.filter(F.col(n) <= limit)
+    met = many.join(F.broadcast(hot), F.col(key) == F.col(inner))
+    others = many.join(F.broadcast(hot.select(inner)), F.col(key) == F.col(inner), "left_anti").join(rest, F.col(key) == F.col(inner))
+    return met.unionByName(others).drop(inner, n)
+
+
 def word_count(text: str | Column) -> Column:
     """Number of maximal runs without ASCII white space, evaluated in the JVM; 0 for null."""
     col = F.col(text) if isinstance(text, str) else text

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LAST, Scratch, add_columns, doc_key, fresh, steps, table
+from .common import LAST, Scratch, add_columns, doc_key, fresh, join_counted, steps, table
 from .components import components
 
 SHINGLE = 5
@@ -351,10 +351,9 @@ def occurrences(spark: SparkSession, docs: DataFrame) -> DataFrame:
     every = scratch.cut(banded.drop("bands"))
     scratch.drop(banded)
     found = components(spark, links)
-    equal = every.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id", F.col("id").alias("component"), F.lit(1).alias("own"))
-    known = equal.unionByName(found.select(F.col("node").alias("id"), "component", F.lit(0).alias("own")))
-    known = scratch.cut(known.groupBy(F.col("id").alias("_id")).agg(F.min_by("component", "own").alias("component")))
-    of = every.join(known, F.col("id") == F.col("_id")).select("d", "h", "n", "s", "e", "piece", "component").distinct()
+    known = every.groupBy("id").agg(F.count("*").alias("rows")).join(found, F.col("id") == F.col("node"), "left").filter("rows > 1 OR node IS NOT NULL")
+    known = scratch.cut(known.select("id", F.coalesce("component", "id").alias("component"), "rows"))
+    of = join_counted(every, known, "id", "rows").select("d", "h", "n", "s", "e", "piece", "component").distinct()
     # Pieces that follow each other are one repeat; a line stands alone.
     order = Window.partitionBy("d", "h", "piece").orderBy("s")
     opens = ~F.col("piece") | (F.col("s") > F.coalesce(F.lag("e").over(order), F.lit(-1)))
@@ -363,8 +362,8 @@ def occurrences(spark: SparkSession, docs: DataFrame) -> DataFrame:
     of = of.withColumn("full", (words >= LEAST) | (words == F.col("n"))).drop("run", "n")
     of = scratch.cut(of)
     scratch.drop(every)
-    first = of.groupBy(F.col("component").alias("_component")).agg(F.min(F.struct("d", "h", "s", "e")).alias("keep"))
-    return scratch.cut(of.join(first, F.col("component") == F.col("_component")).drop("_component"))
+    first = scratch.cut(of.groupBy("component").agg(F.min(F.struct("d", "h", "s", "e")).alias("keep"), F.count("*").alias("rows")))
+    return scratch.cut(join_counted(of, first, "component", "rows"))
 
 
 def verdicts(spark: SparkSession, docs: DataFrame) -> DataFrame:
