@@ -1,25 +1,33 @@
 """Main-text extraction by line-block distribution.
 
 Mark-up is stripped into lines, one per block of the page; what lies in menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or reader comments writes no line. Text lengths are summed over sliding windows of
-WINDOW lines. A stretch surges where its window reaches SURGE characters and dives where WINDOW lines in a row are
-nearly all links; the stretch with the most text is the main text, with all from the first to the last stretch in the
-smallest box (BOXES) that holds it. If its heaviest line lies in an article or main element, the stretch is widened to
-that element, since short opening and closing lines belong to it.
+adverts, forms, scripts, styles or reader comments writes no line. Every line weighs its characters, lines of links and
+statements of rights weigh nothing. Weights are summed over sliding windows of WINDOW lines, which do not reach over the edge of an
+article or main element: a stretch surges where its window reaches SURGE characters and dives where WINDOW lines in
+a row weigh nothing. The heaviest stretch is the main text, with all up to the first and last stretch in the
+smallest box (BOXES) that holds it, since a link list or an advert ends a stretch but not the text; with the short lines next to
+it; and, if the box is an article or in one, with that element's other lines and the heading and lead ahead of it in its main element.
+Lines of links within stay, lists of links (menus) go.
 
-A class, id or role is noise as a whole name (comments, comment-list, but not comments-open); an article, or an element
-that also has a name of BODY, is left out for two such names only.
+A class or role is noise as a whole name (comments, comment-list, but not comments-open), an id only of elements that are no
+heading or section; an article, or an element that also has a name of BODY, is left out for two such names only.
+
+The page is scanned once, in time linear in its length whatever it holds: a tag that is not closed is text, quotes that are not
+closed do not count, and closing tags look only for what is open.
 
 Defined cases: a null, empty or text-free page gives an empty string; unclosed and stray tags are tolerated; a page whose
 text lies in one form is read again with forms allowed; one that loses all but LEFT of its text to names, with no article
 or main element left, is read again without the rules on names; if no window surges, all remaining lines are kept (nothing is
-capped); repeated rows give equal results; extra columns pass through.
+capped, very long pages and lines included); of equally heavy stretches the first counts; repeated rows give equal
+results; extra columns pass through, also text and n_chars (ours are then _text and _n_chars).
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +47,7 @@ BLOCK = {
     "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option",
     "p", "pre", "search", "section", "select", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
-DROPPED = {"aside", "button", "canvas", "datalist", "dialog", "head", "map", "menu", "nav", "object", "audio", "video", "search", "select", "svg", "math"}
+DROPPED = {"aside", "audio", "button", "canvas", "datalist", "dialog", "head", "menu", "nav", "search", "select", "svg", "video"}
 FORMS = {"form", "fieldset", "label", "input", "option"}
 CLOSES_P = BLOCK - {"br", "option", "html", "body", "head"}
 NOISE = {
@@ -57,130 +65,237 @@ BESIDE = {
 }
 HOLDERS = {"article", "main"}
 BOXES = {"article", "body", "center", "div", "main", "section", "td"}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+LISTS = {"ul", "ol", "dl"}
+#: Elements whose id may be a section's own anchor and says nothing about its role.
+ANCHORED = {"article", "section", "h1", "h2", "h3", "h4", "h5", "h6", "p", "a", "li", "dt", "dd", "figure", "table"}
+#: What ends an open element of the same kind, and what such an end does not reach beyond.
+ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+LIMITS = {"ul", "ol", "dl", "table", "div", "article", "section", "main", "body", "blockquote", "aside", "nav", "select"}
+PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>\"'=<]*)\s*+/?>")
+OPENS = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+BETWEEN = re.compile(r"[\s/]*+")
+NAME = re.compile(r"[^\s/>][^\s/>=]*+")
+EQUALS = re.compile(r"\s*+=\s*+")
+VALUE = re.compile(r"[^\s>]*+")
 NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-STATEMENT = re.compile(r"^\s*(?:©|\(c\)\s|copyright\b|all rights reserved)", re.I)
-
-
-def _is_noise(tag: str, attributes: str, inside: bool, forms: bool) -> tuple[bool, bool]:
+STATEMENT = re.compile(r"\s*(?:©|\(c\)\s*\d|copyright\s*(?:©|\(c\)|\d{4})|all rights reserved\W*$)", re.I)
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+
+
+def scan(page: str):
+    """Yield ("text", text, None), ("open", tag, attributes) and ("close", tag, None) in page order; raw elements are passed over."""
+    n, at, begun = len(page), 0, 0
+    last = {c: page.rfind(c) for c in ">\"'"}
+    #: Up to here a tag with quotes was followed and found open; tags that begin before end at the next >.
+    lost = 0
+
+    def tag_end(i: int):
+        """Attributes and the position after >, from a tag's name on; None if the tag's quotes or the page end first."""
+        found = {}
+        while True:
+            i = BETWEEN.match(page, i).end()
+            if i >= n:
+                return None, i
+            if page[i] == ">":
+                return found, i + 1
+            name = NAME.match(page, i)
+            i, value = name.end(), ""
+            if equals := EQUALS.match(page, i):
+                i = equals.end()
+                if i < n and page[i] in "\"'":
+                    end = page.find(page[i], i + 1) if last[page[i]] > i else -1
+                    if end < 0:
+                        return None, i
+                    value, i = page[i + 1 : end], end + 1
+                else:
+                    got = VALUE.match(page, i)
+                    value, i = got[0], got.end()
+            found.setdefault(name[0].lower(), value)
+
+    while True:
+        at = page.find("<", at)
+        if at < 0 or at > last[">"] and not page.startswith("<!--", at):
+            break
+        tag, closing, attributes, after = None, "", None, 0
+        if m := PLAIN.match(page, at):
+            closing, tag, after, attributes = m[1], m[2].lower(), m.end(), {}
+        elif m := OPENS.match(page, at):
+            closing, tag = m[1], m[2].lower()
+            if at >= lost:
+                attributes, after = tag_end(m.end())
+            if attributes is None:
+                lost, attributes = max(lost, after), {}
+                after = page.find(">", m.end()) + 1
+        elif page.startswith("<!--", at):
+            after = page.find("-->", at + 2) + 3
+            after = n if after < 3 else after
+        elif page.startswith(("<!", "<?", "</"), at):
+            after = page.find(">", at) + 1
+        else:
+            at += 1
+            continue
+        if begun < at:
+            yield "text", page[begun:at], None
+        if tag:
+            yield ("close", tag, None) if closing else ("open", tag, attributes)
+            if tag in RAW and not closing:
+                end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, after)
+                after = page.find(">", end.end()) + 1 if end and end.end() <= last[">"] else n
+        at = begun = after
+    if begun < n:
+        yield "text", page[begun:], None
+
+
+def _is_noise(tag: str, attributes: dict[str, str], inside: bool, forms: bool) -> tuple[bool, bool]:
     """Whether an element and all below it are left out, and whether only for a class, id or role. inside: it lies in an
     article or main element."""
     if tag in DROPPED or tag == "footer" or (tag == "header" and not inside) or (tag in FORMS and not forms):
         return True, False
-    if not attributes:
+    if not attributes or tag in ("html", "body"):
         return False, False
-    names: set[str] = set()
-    for m in ATTRIBUTE.finditer(attributes):
-        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id", "role", "data-role"):
-            names.update(value.split())
-        elif key == "aria-hidden" and value.lower() == "true":
-            return True, False
-        elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True, False
-    if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) and tag not in HOLDERS:
+    if tag not in HOLDERS and "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or UNSEEN.search(attributes.get("style", "")):
         return True, False
-    if tag in ("html", "body", "main"):
+    if tag == "main":
         return False, False
-    parts = [{x.lower() for x in NAMES.findall(n) if not x.isdigit()} for n in names]
+    keys = ("class", "role", "data-role") if tag in ANCHORED else ("class", "id", "role", "data-role")
+    parts = [{x.lower() for x in NAMES.findall(n) if not x.isdigit()} for n in {n for k in keys for n in attributes.get(k, "").split()}]
     body = any(x & BODY and x <= BODY | BESIDE for x in parts)
     noise = sum(bool(x & NOISE) and x <= NOISE | FRAME | BODY | BESIDE for x in parts)
     if noise > (body or tag == "article"):
         return True, True
-    frame = any(x & FRAME and x <= FRAME | BESIDE for x in parts)
-    gone = frame and not inside and not body and tag != "article"
+    gone = any(x & FRAME and x <= FRAME | BESIDE for x in parts) and not inside and not body and tag != "article"
     return gone, gone
 
 
-def lines_of(page: str, forms: bool = False, named: bool = True) -> tuple[list[tuple[str, int, int, int]], dict[int, int], dict[int, int], int]:
-    """Lines as (text, characters in links, holder, box), each holder's and each box's parent, and the characters left out
-    for a class, id or role; these rules hold if named."""
-    lines: list[tuple[str, int, int, int]] = []
-    parent, around = {0: 0}, {0: 0}
-    stack: list[tuple[str, bool, int, int, bool]] = []  # tag, left out, holder, box, left out for a name
+class Line:
+    """A line of a page: text, characters in links, statement of rights or not, innermost article or main, box and list."""
+
+    __slots__ = ("box", "holder", "linked", "list", "text", "weight")
+
+    def __init__(self, text: str, linked: int, place: "_Open"):
+        self.text, self.linked, self.holder, self.box, self.list = text, linked, place.holder, place.box, place.list
+        statement = len(text) < 200 and STATEMENT.match(text)
+        self.weight = 0 if linked > LINKED * len(text) or statement else len(text)
+
+
+class _Open:
+    """An open element: whether it is left out, whether for a name, and the article or main, box and list it stands in or is."""
+
+    __slots__ = ("box", "holder", "list", "named", "out", "tag")
+
+    def __init__(self, tag: str, out: bool, named: bool, holder: int, box: int, list_: int):
+        self.tag, self.out, self.named, self.holder, self.box, self.list = tag, out, named, holder, box, list_
+
+
+class Boxes:
+    """Nested elements, numbered in page order: those inside one have numbers from its own to its last."""
+
+    def __init__(self):
+        self.around, self.last = [0], [0]
+
+    def open(self, around: int) -> int:
+        self.around.append(around)
+        self.last.append(len(self.around) - 1)
+        return len(self.around) - 1
+
+    def close(self, box: int) -> None:
+        self.last[box] = len(self.around) - 1
+
+    def within(self, inner: int, box: int) -> bool:
+        return not box or box <= inner <= self.last[box]
+
+    def common(self, low: int, high: int) -> int:
+        """The smallest one around the boxes numbered low to high."""
+        while not self.within(high, low):
+            low = self.around[low]
+        return low
+
+
+def lines_of(page: str, forms: bool = False, named: bool = True) -> tuple[list[Line], Boxes, Boxes, int]:
+    """A page's lines, its article and main elements, its boxes, and the characters left out for a class or id; these
+    rules hold if named."""
+    lines: list[Line] = []
+    holders, boxes = Boxes(), Boxes()
+    top = _Open("", False, False, 0, 0, 0)
+    stack: list[_Open] = [top]
+    #: Open elements by tag; those since the last of LIMITS.
+    known, scopes = Counter(), [Counter()]
     pieces: list[str] = []
-    linked, anchors, out, holder, box, by_name, lost = 0, 0, False, 0, 0, False, 0
+    linked, lists, lost = 0, 0, 0
 
     def close_line() -> None:
         nonlocal linked
-        text = " ".join("".join(pieces).split())
-        if text:
-            lines.append((text, min(linked, len(text)), holder, box))
-        pieces.clear()
+        if pieces:
+            text = " ".join("".join(pieces).split())
+            if text:
+                lines.append(Line(text, min(linked, len(text)), stack[-1]))
+            pieces.clear()
         linked = 0
 
-    def state() -> None:
-        nonlocal out, holder, box, by_name
-        _, out, holder, box, by_name = stack[-1] if stack else ("", False, 0, 0, False)
-
-    def pop_to(k: int) -> None:
-        nonlocal anchors
-        close = any(x[0] in BLOCK for x in stack[k:])
-        if close:
-            close_line()
-        anchors -= sum(x[0] == "a" for x in stack[k:])
-        del stack[k:]
-        state()
-
-    at, n = 0, len(page)
-    while at < n:
-        m = TOKEN.search(page, at)
-        if m is None and (m := LOOSE_TAG.search(page, at)) is None:
-            text, after = page[at:], n
-        else:
-            text, after = page[at : m.start()], m.end()
-        if text and not out:
-            text = entities.unescape(text)
-            pieces.append(text)
-            if anchors:
-                linked += len(text)
-        elif by_name:
-            lost += len(text.strip())
-        at = after
-        if m is None or not m[2]:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag == "br" or tag == "p" and not any(x[0] == "p" for x in stack):
+    def pop_to(tags: set[str]) -> None:
+        """Close the elements down to the innermost of tags, which is open."""
+        while True:
+            x = stack[-1]
+            if x.tag in BLOCK:
                 close_line()
+            stack.pop()
+            known[x.tag] -= 1
+            if x.tag in LIMITS:
+                scopes.pop()
+            scopes[-1][x.tag] -= 1
+            if x.holder > stack[-1].holder:
+                holders.close(x.holder)
+            if x.box > stack[-1].box:
+                boxes.close(x.box)
+            if x.tag in tags:
+                return
+
+    for kind, what, attributes in scan(page):
+        now = stack[-1]
+        if kind == "text":
+            if now.out:
+                lost += len(what.strip()) * now.named
                 continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop_to(k)
-                    break
+            what = entities.unescape(what) if "&" in what else what
+            pieces.append(what)
+            if known["a"]:
+                linked += len(what)
             continue
-        if tag in CLOSES_P or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            ends = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}.get(tag, set()) | {"p"}
-            limit = {"ul", "ol", "dl", "table", "div", "article", "section", "main", "body", "blockquote", "aside", "nav", "select"}
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ends:
-                    pop_to(k)
-                    break
-                if stack[k][0] in limit:
-                    break
+        tag = what
+        if kind == "close":
+            if tag == "br" or tag == "p" and not known["p"]:
+                close_line()
+            elif known[tag]:
+                pop_to({tag})
+            continue
+        if tag in CLOSES_P or tag in ENDS:
+            ends = ENDS.get(tag, set()) | {"p"}
+            if any(scopes[-1][x] for x in ends):
+                pop_to(ends)
+                now = stack[-1]
         if tag in BLOCK:
             close_line()
-        if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n
-            continue
-        if tag in VOID:
+        if tag in RAW or tag in VOID:
             continue
-        noise, name = (out, by_name) if out else _is_noise(tag, m[3], holder > 0, forms)
-        gone, inner, room = noise and (named or not name), holder, box
-        if tag in HOLDERS and not gone:
-            inner = len(parent)
-            parent[inner] = holder
-        if tag in BOXES and not gone:
-            room = len(around)
-            around[room] = box
-        stack.append((tag, gone, inner, room, gone and name))
-        anchors += tag == "a"
-        state()
+        noise, name = (True, now.named) if now.out else _is_noise(tag, attributes, now.holder > 0, forms)
+        out = noise and (named or not name)
+        new = _Open(tag, out, out and name, now.holder, now.box, now.list)
+        if tag in HOLDERS and not out:
+            new.holder = holders.open(now.holder)
+        if tag in BOXES and not out:
+            new.box = boxes.open(now.box)
+        if tag in LISTS:
+            lists += 1
+            new.list = lists
+        stack.append(new)
+        known[tag] += 1
+        scopes[-1][tag] += 1
+        if tag in LIMITS:
+            scopes.append(Counter())
     close_line()
-    return lines, parent, around, lost
+    while len(stack) > 1:
+        pop_to({stack[-1].tag})
+    return lines, holders, boxes, lost
 
 
 def stretches(lengths: list[int]) -> list[tuple[int, int]]:
@@ -205,67 +320,55 @@ def stretches(lengths: list[int]) -> list[tuple[int, int]]:
     return found
 
 
+def _without_menus(lines: list[Line]) -> list[Line]:
+    """lines without lists that are mostly links."""
+    linked, size = Counter(), Counter()
+    for x in lines:
+        linked[x.list] += x.linked
+        size[x.list] += len(x.text)
+    return [x for x in lines if not x.list or linked[x.list] <= LINKED * size[x.list]]
+
+
 def main_text(page: str | None) -> str:
     for forms in (False, True):
-        lines, parent, around, weights, lost = _weighed(page or "", forms, True)
-        if lost and sum(weights) < LEFT * (sum(weights) + lost) and not any(w and h for w, (_, _, h, _) in zip(weights, lines, strict=True)):
-            lines, parent, around, weights, _ = _weighed(page or "", forms, False)
-        if any(weights):
+        lines, holders, boxes, lost = lines_of(page or "", forms)
+        weight = sum(x.weight for x in lines)
+        if lost and weight < LEFT * (weight + lost) and not any(x.weight and x.holder for x in lines):
+            lines, holders, boxes, _ = lines_of(page or "", forms, False)
+        if any(x.weight for x in lines):
             break
-    if not any(weights):
+    else:
         return ""
-    heaviest = max(range(len(weights)), key=lambda i: (weights[i], -i))
-    found = stretches(weights)
-    first, last = max(found, key=lambda x: (sum(weights[x[0] : x[1] + 1]), -x[0]), default=(heaviest, heaviest))
-    inside = max(range(first, last + 1), key=lambda i: (weights[i], -i))
-    near, holder = widened(lines, weights, parent, lines[inside][2])
-    if holder:
-        return "\n".join(t for (t, _, h, _), w in zip(lines, weights, strict=True) if _within(h, near, parent) or w and _within(h, holder, parent))
+    lines = _without_menus(lines)
+    found, at = [], 0
+    for _, run in groupby(x.holder for x in lines):
+        size = len(list(run))
+        found += [(at + a, at + b) for a, b in stretches([x.weight for x in lines[at : at + size]])]
+        at += size
     if not found:
-        first, last = 0, len(weights) - 1
-    else:
-        # A box's lines follow each other, so what lies between two of its stretches is in it too.
-        box = _common([lines[i][3] for i in range(first, last + 1) if weights[i]], around)
-        shared = [i for a, b in found for i in range(a, b + 1) if weights[i] and _within(lines[i][3], box, around)]
-        first, last = min(shared), max(shared)
-    while first and weights[first - 1]:
+        return "\n".join(x.text for x in lines if x.weight)
+    totals = [0]
+    for x in lines:
+        totals.append(totals[-1] + x.weight)
+    first, last = max(found, key=lambda x: (totals[x[1] + 1] - totals[x[0]], -x[0]))
+    holder = lines[first].holder
+    if holder:
+        # All of the element belongs to the text, and what stands ahead of it in its main element, up to another article.
+        inside = [i for i, x in enumerate(lines) if holders.within(x.holder, holder)]
+        first, last = inside[0], inside[-1]
+        around = holders.around[holder]
+        while around and first and lines[first - 1].holder == around and lines[first - 1].weight:
+            first -= 1
+        return "\n".join(x.text for x in lines[first : last + 1])
+    weighty = [x.box for x in lines[first : last + 1] if x.weight]
+    box = boxes.common(min(weighty), max(weighty))
+    shared = [i for a, b in found for i in (a, b) if not lines[i].holder and boxes.within(lines[i].box, box)]
+    first, last = min(first, *shared), max(last, *shared)
+    while first and lines[first - 1].weight and not lines[first - 1].holder:
         first -= 1
-    return "\n".join(t for (t, _, _, _), w in zip(lines[first : last + 1], weights[first : last + 1], strict=True) if w)
-
-
-def _weighed(page: str, forms: bool, named: bool):
-    """What lines_of gives, with the lines' weights: their characters, 0 for links and statements of rights."""
-    lines, parent, around, lost = lines_of(page, forms, named)
-    weights = [0 if linked > LINKED * len(t) or STATEMENT.match(t) and len(t) < 200 else len(t) for t, linked, _, _ in lines]
-    return lines, parent, around, weights, lost
-
-
-def _common(boxes: list[int], around: dict[int, int]) -> int:
-    """The smallest box around all of boxes; a box has a larger number than those around it."""
-    left = set(boxes)
-    while len(left) > 1:
-        most = max(left)
-        left = left - {most} | {around[most]}
-    return left.pop()
-
-
-def _within(h: int, holder: int, parent: dict[int, int]) -> bool:
-    while h and h != holder:
-        h = parent[h]
-    return h == holder
-
-
-def widened(lines: list[tuple[str, int, int, int]], weights: list[int], parent: dict[int, int], holder: int) -> tuple[int, int]:
-    """The innermost holder around a stretch's heaviest line that has nine tenths of the outermost's text, and the
-    outermost, whose heading or lead may stand beside the other. (0, 0): none."""
-    chain = []
-    while holder:
-        chain.append(holder)
-        holder = parent[holder]
-    if not chain:
-        return 0, 0
-    weight = {k: sum(w for (_, _, h, _), w in zip(lines, weights, strict=True) if _within(h, k, parent)) for k in chain}
-    return next(k for k in chain if weight[k] >= 0.9 * weight[chain[-1]]), chain[-1]
+    while last + 1 < len(lines) and lines[last + 1].weight and not lines[last + 1].holder:
+        last += 1
+    return "\n".join(x.text for x in lines[first : last + 1])
 
 
 def extract(pages: DataFrame, column: str = "html") -> DataFrame:
