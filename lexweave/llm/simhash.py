@@ -4,14 +4,17 @@ Fingerprints. A text's A-Z are lower-cased, it is cut at ASCII white space, and
 space, is hashed with XXH64 (seed 42). A bit of the fingerprint is set if over half the hashes have it. A shorter text
 gives one hash of all its words; a text without words has fingerprint zero.
 
-Links. Only distinct fingerprints are compared. Two of 64 bits that differ in at most RADIUS = 4 agree on at least one
-of five bit blocks, so each fingerprint goes to one shard per block, named by a prefix of the block; the prefix is as
-long as the number of fingerprints asks for. A shard with more than SHARD_MOST fingerprints is split by Hamming
-distance to a vantage point into rings, and a fingerprint near a ring's edge is also sent to the ring below
-(triangle bound: |d(x, v) - d(y, v)| <= d(x, y)), as often as needed up to LEVELS times. Inside a shard a
-vantage-point tree finds the pairs: a node's points are split at the median distance to its vantage point and only
-points within RADIUS of the split are queried across it. Plain vantage shards alone would hardly prune here: distances
-between unrelated 64-bit fingerprints spread by only 4 around 32, as much as the radius.
+Links. Only distinct fingerprints are compared. Fingerprints are partitioned by Hamming distance to vantage points, and by the
+triangle bound |d(x, v) - d(y, v)| <= d(x, y) only shards that the bound lets meet are searched. On all 64 bits the bound prunes
+nothing: distances of unrelated codes to any point spread by only 4 around 32, as much as the radius. So the bits
+are cut into PARTS = RADIUS + 1 blocks: two codes within RADIUS agree on a block at least, their distance counted on
+that block alone is 0, and so are the differences of their distances to every vantage point there. In each block a code's shard is the
+list of its distances to some vantage points; with a bound of 0 no shard overlaps another, and close codes meet in a shard of
+a block where they agree. The number of vantage points grows with the number of fingerprints; under SHARD_AIM all are one
+shard. A shard of more than SHARD_MOST is split the same way on the bits outside its block, where its close pairs
+still differ in RADIUS at most, and so on until it is small or fewer than PARTS bits are left. Inside a shard a
+vantage-point tree over all 64 bits finds the pairs: a node's points are split at the median distance to its vantage point and
+only points within RADIUS of the split are queried across it.
 
 A shard returns a spanning forest of its links, at most one link a point, so groups of copies never become all pairs,
 and no link between two components is lost. Components then run over the fingerprints themselves, and each component takes
@@ -19,7 +22,8 @@ the smallest doc_id of its fingerprints.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; a null doc_id takes part with
 component null unless an id is reachable; repeated rows share everything (rows with one doc_id are one document); an
-empty table gives an empty result. Extra columns are not looked at.
+empty table gives an empty result; very long texts are hashed in one pass, their shingles counted in portions. Extra columns are not
+looked at, whatever their names; keep_one leaves them as they are.
 """
 
 from __future__ import annotations
@@ -28,23 +32,23 @@ import math
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, add_columns, table
+from .common import Scratch, add_columns, fresh, table
 from .components import components
 
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-#: Bit blocks as (lowest bit, bits): one more than RADIUS, so that close fingerprints agree on one.
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-#: Fingerprints that a shard's prefix length aims at, and beyond which a shard is split by a vantage point.
+#: Blocks of bits: one more than RADIUS, so that close fingerprints agree on one.
+PARTS = RADIUS + 1
+#: Fingerprints that a shard aims at, and beyond which a shard is split further.
 SHARD_AIM = 1500
-SHARD_MOST = 20000
-LEVELS = 6
-RING = 8
-LEAF = 256
+SHARD_MOST = 5000
+LEAF = 64
+#: Points to which distances are counted; ten tell nearly all values of a block apart.
+VANTAGE = [int(x) for x in np.random.default_rng(20240301).integers(-(1 << 63), 1 << 63, 10, dtype=np.int64)]
 
 
 def fingerprint(text: str | None) -> int:
@@ -144,26 +148,50 @@ def vantage_links(points: np.ndarray, radius: int = RADIUS) -> list[tuple[int, i
     return forest.links
 
 
+def blocks(free: int) -> list[int]:
+    """The bits of free, cut into PARTS masks of about the same number of bits; signed, as Spark has them."""
+    bits = [k for k in range(64) if free >> k & 1]
+    masks = [sum(1 << k for k in bits[len(bits) * p // PARTS : len(bits) * (p + 1) // PARTS]) for p in range(PARTS)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
+def _distances(mask: Column, points: int) -> Column:
+    """A number for the list of distances to the first vantage points, counted on the bits of mask."""
+    return F.xxhash64(mask, *[F.bit_count(F.col("fp").bitwiseXOR(F.lit(v)).bitwiseAND(mask)) for v in VANTAGE[:points]])
+
+
 def shards(spark: SparkSession, points: DataFrame, scratch: Scratch) -> DataFrame:
     """(shard, fp, id): each close pair of distinct fingerprints meets in at least one shard."""
     count = points.count()
-    bits = max(0, min(12, math.ceil(math.log2(max(1, count) / SHARD_AIM)))) if count else 0
-    block = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("fp", low + size - bits).bitwiseAND((1 << bits) - 1).alias("p")) for k, (low, size) in enumerate(BLOCKS)]))
-    placed = points.select("fp", "id", block.alias("b")).select(F.xxhash64("b.k", "b.p").alias("shard"), "fp", "id")
-    done = None
-    for level in range(LEVELS):
-        sizes = placed.groupBy("shard").agg(F.count("*").alias("n"), F.min_by("fp", F.xxhash64("fp", F.lit(level))).alias("v"))
-        heavy = scratch.cut(sizes.filter(F.col("n") > SHARD_MOST).select(F.col("shard").alias("_shard"), "v"))
-        if heavy.isEmpty():
+    placed = points.select(F.lit(0).cast("long").alias("shard"), F.lit(-1).cast("long").alias("free"), "fp", "id")
+    done, most, level = None, SHARD_AIM, 0
+    # A distance tells about three bits of a block, and a bit or two where others are known.
+    points_used = min(len(VANTAGE), math.ceil(math.log2(max(1, count) / SHARD_AIM) / 2) + 1) if count > SHARD_AIM else 0
+    while True:
+        level += 1
+        if level > 1:
+            heavy = placed.groupBy("shard", "free").agg(F.count("*").alias("n")).filter((F.col("n") > most) & (F.bit_count("free") >= PARTS))
+            heavy = scratch.cut(heavy.select(F.col("shard").alias("_shard"), "free"))
+            # One row for each way to have come here: PARTS ** level at most, whatever the data.
+            known = [r["free"] for r in heavy.select("free").distinct().collect()]
+            heavy = heavy.drop("free")
+        else:
+            known = [-1] if points_used else []
+            heavy = None
+        if not known:
             break
-        light = placed.join(heavy, placed["shard"] == heavy["_shard"], "left_anti")
-        done = light if done is None else done.unionByName(light)
-        split = placed.join(heavy, placed["shard"] == heavy["_shard"])
-        d = F.bit_count(F.col("fp").bitwiseXOR(F.col("v")))
-        rings = F.array_distinct(F.array(F.floor(d / RING), F.floor((d - RADIUS) / RING)))
-        split = split.withColumn("ring", F.explode(rings)).select(F.xxhash64("shard", "ring", F.lit(level)).alias("shard"), "fp", "id")
-        placed = scratch.cut(split)
-    return placed if done is None else done.unionByName(placed)
+        if heavy is not None:
+            light = placed.join(heavy, placed["shard"] == heavy["_shard"], "left_anti")
+            done = light if done is None else done.unionByName(light)
+            placed = placed.join(heavy, placed["shard"] == heavy["_shard"]).drop("_shard")
+        ways = [(f, m, f & ~m) for f in known for m in blocks(f % (1 << 64))]
+        ways = spark.createDataFrame(ways, "_free long, mask long, left long")
+        split = placed.join(F.broadcast(ways), F.col("free") == F.col("_free"))
+        shard = F.xxhash64("shard", _distances(F.col("mask"), points_used if level == 1 else len(VANTAGE)))
+        placed = scratch.cut(split.select(shard.alias("shard"), F.col("left").alias("free"), "fp", "id"))
+        most = SHARD_MOST
+    placed = placed if done is None else done.unionByName(placed)
+    return placed.select("shard", "fp", "id")
 
 
 def links(spark: SparkSession, points: DataFrame) -> DataFrame:
@@ -200,8 +228,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs without those that are not the smallest doc_id of their component; rows without an id stay."""
-    extra = near_duplicates(spark, docs).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_extra")).distinct()
-    return docs.join(extra, docs["doc_id"] == extra["_extra"], "left_anti")
+    (extra,) = fresh(docs, "_extra")
+    gone = near_duplicates(spark, docs.select("doc_id", "text")).filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(extra)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(extra), "left_anti")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -108,3 +108,33 @@ def test_classes_without_an_id_do_not_join_others(spark, monkeypatch):
     got = {r["fingerprint"]: r["component_id"] for r in simhash.near_duplicates(spark, docs).collect()}
     assert {t: got[f"{fp:016x}"] for t, fp in codes.items()} == {"a": 1, "near a": 1, "b": 2, "near b": 2, "alone": None}
     assert sorted(r["doc_id"] for r in simhash.keep_one(spark, docs).collect() if r["doc_id"]) == [1, 2]
+
+
+def test_shards_stay_small_whatever_the_codes(spark, monkeypatch):
+    """Codes that agree on their first 13 bits, and on 26 others: the blocks that agree are split on the bits that are left."""
+    rng = random.Random(8)
+    common = rng.getrandbits(39)
+    codes = list({common << 25 | rng.getrandbits(25) for _ in range(1500)})
+    codes += [c ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for c in codes[:100]]
+    codes = list(dict.fromkeys(codes))
+    signed = [(i, c - (1 << 64) if c >> 63 else c) for i, c in enumerate(codes)]
+    for most, aim in ((50, 20), (300, 100), (20000, 1500)):
+        monkeypatch.setattr(simhash, "SHARD_MOST", most)
+        monkeypatch.setattr(simhash, "SHARD_AIM", aim)
+        placed = simhash.shards(spark, spark.createDataFrame(signed, "id long, fp long"), simhash.Scratch(spark, "test"))
+        members = {}
+        for r in placed.collect():
+            members.setdefault(r["shard"], set()).add(r["id"])
+        assert max(map(len, members.values())) <= max(most, aim)
+        met = {(i, j) for m in members.values() for i in m for j in m if i < j and (codes[i] ^ codes[j]).bit_count() <= 4}
+        near = np.array(codes, np.uint64)
+        want = {(i, int(j)) for i in range(len(codes)) for j in np.flatnonzero(np.bitwise_count(near ^ near[i]) <= 4) if i < j}
+        assert met == want and want
+
+
+def test_columns_of_our_names_and_repeated_rows(spark):
+    text = "one two three four five six"
+    rows = [(1, text, "x", 1), (1, text, "x", 1), (2, text, None, 2), (None, text, "y", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _extra string, fingerprint int")
+    kept = sorted(simhash.keep_one(spark, docs).collect(), key=str)
+    assert [(r["doc_id"], r["_extra"]) for r in kept] == [(1, "x"), (1, "x"), (None, "y")] and kept[0].__fields__ == docs.columns
