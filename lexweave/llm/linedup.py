@@ -7,17 +7,23 @@ whose first h lines occur once are final and drop out, so only suffixes inside s
 carried on: equal ranks at h lines are exactly the suffix-array intervals with a common prefix of h lines or more. Every
 interval keeps its first position; a position that is not the first starts a later copy of a repeated run.
 
-A run is deleted where it is a later copy and has MIN_LINES = 2 lines or more, or is one line of MIN_CHARS characters or
-more. Runs of any length are covered by their overlapping windows of two lines; the longer ranks give each deleted
-line the size of the run it belongs to (a power of two not above its length, ``run_floor``).
+Runs. A position's source is the first position of the largest interval size where it is a later copy. Positions that follow each
+other with sources that do are one run; at its head the exact longest common prefix with the source comes from the ranks
+again, from large to small: where the next h/2, h/4, ... lines of both have equal ranks, the prefix grows by them. Such a
+run is maximal: it ends where the lines differ, and begins where the line ahead has another source.
+
+A later copy is deleted if its run has MIN_LINES = 2 lines or more, or is one line of MIN_CHARS characters or more; the
+exact length of the longest is reported (longest_run).
 
 Scale: a round is a map-side-combined count per pair of ranks, a range sort of the repeated pairs (the new ranks), and a
-join back on the pair, whose hot keys Spark splits; the neighbour's rank comes from a window over one document. Texts are
-shuffled once, to meet the list of lines to delete. Rounds are written tables in the shared folder.
+join back on the pair, whose hot keys Spark splits; the neighbour's rank comes from a window over one document. Prefixes
+are made exact for the heads of runs only. Texts are shuffled once, to meet the list of lines to delete. Rounds are written
+tables in the shared folder.
 
 Defined cases: a null text stays null and an empty text empty, with no lines; rows equal in doc_id and text are one
 document and get the same verdict; rows of one doc_id with different texts follow each other in the order of the
-texts' hash; null doc_ids come last; extra columns stay; an empty table gives an empty result.
+texts' hash; null doc_ids, and ids that are no integers, come last; very long texts are many short rows of lines, as all are; of equal runs the one first in this order
+stays; extra columns stay, also where they have the names of ours; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,20 +31,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, fresh, table, without_lines
+from .common import Scratch, doc_key, fresh, table, without_lines
 
 MIN_LINES = 2
 MIN_CHARS = 20
-LAST = (1 << 63) - 1
 BLANK = " \t\r\x0b\x0c"
 
 
-def _doc() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-
-
 def _trim(c: Column) -> Column:
-    return F.trim(F.translate(c, BLANK, " " * len(BLANK)))
+    return F.btrim(c, F.lit(BLANK))
 
 
 def line_table(docs: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def line_table(docs: DataFrame) -> DataFrame:
         F.transform(F.split("text", "\n", -1), lambda s, n: F.struct(n.alias("line"), _trim(s).alias("s"))),
         lambda x: x["s"] != "",
     )
-    rows = docs.filter(F.col("text").isNotNull()).select(_doc().alias("d"), F.xxhash64("text").alias("h"), F.posexplode(lines).alias("i", "x"))
+    rows = docs.filter(F.col("text").isNotNull()).select(doc_key().alias("d"), F.xxhash64("text").alias("h"), F.posexplode(lines).alias("i", "x"))
     return rows.select("d", "h", "i", F.col("x.line").alias("line"), F.unhex(F.md5(F.col("x.s").cast("binary"))).alias("id"), F.length("x.s").alias("len"))
 
 
@@ -60,15 +61,15 @@ def _ranked(groups: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
 def repeated_suffixes(spark: SparkSession, docs: DataFrame, scratch: Scratch):
     """Yield (h, table) for h = 1, 2, 4, ...: suffixes whose first h lines repeat.
 
-    Columns: d, h, i, line, line2 (number of the next non-blank line, from h = 2 on), len, r and first. r orders the
-    suffixes by their first h lines; first = (d, h, i) is where the same h lines occur first.
+    Columns: d, h, i, r and first, for h = 1 also line and len. r orders the suffixes by their first h lines; first =
+    (d, h, i) is where the same h lines occur first.
     """
     lines = scratch.cut(line_table(docs))
     at = F.struct("d", "h", "i")
     groups = lines.groupBy("id").agg(F.min(at).alias("first"), F.max(at).alias("end")).filter("first <> end")
     groups = _ranked(groups.select("id", "first"), ["id"], scratch)
     g = groups.withColumnRenamed("id", "_id")
-    first = lines.join(g, lines["id"] == g["_id"]).select("d", "h", "i", "line", F.lit(None).cast("int").alias("line2"), "len", "r", "first")
+    first = lines.join(g, lines["id"] == g["_id"]).select("d", "h", "i", "line", "len", "r", "first")
     now = scratch.cut(first.dropDuplicates(["d", "h", "i"]))
     scratch.drop(lines)
     scratch.drop(groups)
@@ -76,52 +77,77 @@ def repeated_suffixes(spark: SparkSession, docs: DataFrame, scratch: Scratch):
     while not now.isEmpty():
         yield size, now
         ahead = Window.partitionBy("d", "h").orderBy("i").rangeBetween(size, size)
-        line2 = F.max("line").over(ahead) if size == 1 else F.col("line2")
-        pairs = now.withColumn("r2", F.max("r").over(ahead)).withColumn("line2", line2).filter(F.col("r2").isNotNull())
-        pairs = scratch.cut(pairs.select("d", "h", "i", "line", "line2", "len", F.col("r").alias("r1"), "r2"))
-        scratch.drop(now)
+        pairs = now.withColumn("r2", F.max("r").over(ahead)).filter(F.col("r2").isNotNull())
+        pairs = scratch.cut(pairs.select("d", "h", "i", F.col("r").alias("r1"), "r2"))
         groups = pairs.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.min(at).alias("first")).filter("n > 1").select("r1", "r2", "first")
         groups = _ranked(groups, ["r1", "r2"], scratch)
         g = groups.withColumnsRenamed({"r1": "_r1", "r2": "_r2"})
         now = pairs.join(g, (pairs["r1"] == g["_r1"]) & (pairs["r2"] == g["_r2"]))
-        now = scratch.cut(now.select("d", "h", "i", "line", "line2", "len", "r", "first"))
+        now = scratch.cut(now.select("d", "h", "i", "r", "first"))
         scratch.drop(pairs)
         scratch.drop(groups)
         size *= 2
-    scratch.drop(now)
+
+
+def runs(rounds: list[tuple[int, DataFrame]], scratch: Scratch) -> DataFrame:
+    """(d, h, i, n): the heads of maximal runs that are later copies, and their exact number of lines."""
+    copies = None
+    for size, now in rounds:
+        part = now.filter(F.col("first") != F.struct("d", "h", "i")).select("d", "h", "i", "first", F.lit(size).alias("n"))
+        copies = part if copies is None else copies.unionByName(part)
+    copies = copies.groupBy("d", "h", "i").agg(F.max_by("first", "n").alias("q"), F.max("n").alias("n"))
+    order = Window.partitionBy("d", "h").orderBy("i")
+    before, source = F.lag("i").over(order), F.lag("q").over(order)
+    goes_on = (before == F.col("i") - 1) & (source["d"] == F.col("q.d")) & (source["h"] == F.col("q.h")) & (source["i"] == F.col("q.i") - 1)
+    heads = copies.withColumn("goes_on", F.coalesce(goes_on, F.lit(False))).filter(~F.col("goes_on"))
+    heads = scratch.cut(heads.select("d", "h", "i", F.col("q.d").alias("qd"), F.col("q.h").alias("qh"), F.col("q.i").alias("qi"), F.col("n").alias("top"), "n"))
+    for size, now in reversed(rounds[:-1]):
+        own = now.select(F.col("d").alias("_d"), F.col("h").alias("_h"), F.col("i").alias("_i"), F.col("r").alias("own"))
+        other = own.withColumnsRenamed({"_d": "_qd", "_h": "_qh", "_i": "_qi", "own": "other"})
+        open_ = heads.filter(F.col("top") > size)
+        met = open_.join(own, (F.col("d") == F.col("_d")) & (F.col("h") == F.col("_h")) & (F.col("i") + F.col("n") == F.col("_i")), "left")
+        met = met.join(other, (F.col("qd") == F.col("_qd")) & (F.col("qh") == F.col("_qh")) & (F.col("qi") + F.col("n") == F.col("_qi")), "left")
+        longer = met.withColumn("n", F.col("n") + F.when(F.col("own") == F.col("other"), size).otherwise(0)).select(heads.columns)
+        after = scratch.cut(longer.unionByName(heads.filter(F.col("top") <= size)))
+        scratch.drop(heads)
+        heads = after
+    return heads.select("d", "h", "i", "n")
 
 
 def later_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(d, h, line, run_floor): lines to delete, by number, and a power of two not above their run's lines."""
+    """(d, h, line, run): lines to delete, by number, and the lines of the longest run up to there."""
     scratch = Scratch(spark, "lines")
-    every = None
-    for size, now in repeated_suffixes(spark, docs, scratch):
-        copy = now.filter(F.col("first") != F.struct("d", "h", "i"))
-        if size < MIN_LINES:
-            copy = copy.filter(F.col("len") >= MIN_CHARS)
-        # Windows of two lines cover every longer run; longer ones tell its size.
-        covered = F.array("line") if size == 1 else F.array("line", "line2")
-        part = scratch.cut(copy.select("d", "h", F.explode(covered).alias("line"), F.lit(size).alias("size")))
-        every = part if every is None else every.unionByName(part)
-    if every is None:
-        return spark.createDataFrame([], "d long, h long, line int, run_floor int")
-    return every.groupBy("d", "h", "line").agg(F.max("size").alias("run_floor"))
+    rounds = list(repeated_suffixes(spark, docs, scratch))
+    if not rounds:
+        return spark.createDataFrame([], "d long, h long, line int, run int")
+    heads = runs(rounds, scratch).withColumnsRenamed({"d": "_d", "h": "_h", "i": "_i"})
+    # All lines of a run are later copies of single lines too.
+    copies = rounds[0][1].filter(F.col("first") != F.struct("d", "h", "i")).select("d", "h", "i", "line", "len")
+    placed = copies.join(heads, (F.col("d") == F.col("_d")) & (F.col("h") == F.col("_h")) & (F.col("i") == F.col("_i")), "left")
+    counts = (F.col("n") >= MIN_LINES) | (F.col("len") >= MIN_CHARS)
+    so_far = Window.partitionBy("d", "h").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("reach", F.max(F.when(counts, F.col("i") + F.col("n"))).over(so_far)).withColumn("run", F.max(F.when(counts, F.col("n"))).over(so_far))
+    gone = scratch.cut(placed.filter(F.col("reach") > F.col("i")).select("d", "h", "line", "run"))
+    for _, now in rounds:
+        scratch.drop(now)
+    return gone
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """docs with later copies deleted from text, and n_lines (non-blank, before), n_removed and run_floor (largest)."""
-    n, gone, floor = fresh(docs, "n_lines", "n_removed", "run_floor")
-    marks = later_copies(spark, docs).groupBy(F.col("d").alias("_d"), F.col("h").alias("_h"))
-    marks = marks.agg(F.sort_array(F.collect_list("line")).alias("_gone"), F.max("run_floor").alias("_floor"))
-    joined = docs.join(marks, (_doc() == F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left")
+    """docs with later copies deleted from text, and n_lines (non-blank, before), n_removed and longest_run (deleted)."""
+    n, gone, longest = fresh(docs, "n_lines", "n_removed", "longest_run")
+    d, h, marked, run = fresh(docs, "_d", "_h", "_gone", "_run")
+    marks = later_copies(spark, docs.select("doc_id", "text")).groupBy(F.col("d").alias(d), F.col("h").alias(h))
+    marks = marks.agg(F.sort_array(F.collect_list("line")).alias(marked), F.max("run").alias(run))
+    joined = docs.join(marks, (doc_key() == F.col(d)) & (F.xxhash64("text") == F.col(h)) & F.col("text").isNotNull(), "left")
     lines = F.split("text", "\n", -1)
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(without_lines("text", "_gone"))
+    text = F.when(F.col(marked).isNull(), F.col("text")).otherwise(without_lines("text", marked))
     filled = F.size(F.filter(lines, lambda s: _trim(s) != ""))
     return joined.select(
         *[text.alias(c) if c == "text" else docs[c] for c in docs.columns],
         F.when(F.col("text").isNull(), 0).otherwise(filled).cast("long").alias(n),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias(gone),
-        F.coalesce("_floor", F.lit(0)).alias(floor),
+        F.when(F.col(marked).isNull(), 0).otherwise(F.size(marked)).cast("long").alias(gone),
+        F.coalesce(run, F.lit(0)).alias(longest),
     )
 
 
@@ -134,7 +160,7 @@ SQL_OP2 = """
 WITH x AS (
   SELECT doc_id, unnest(ls) AS s, unnest(range(len(ls))) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)
 ), nb AS (
-  SELECT *, trim(translate(s, chr(9) || chr(13) || chr(11) || chr(12), '    ')) AS t FROM x
+  SELECT *, trim(s, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS t FROM x
 ), one AS (
   SELECT doc_id, line, t, row_number() OVER (PARTITION BY t ORDER BY doc_id, line) AS n1, lead(t) OVER d AS t2, lead(line) OVER d AS line2
   FROM nb WHERE t <> '' WINDOW d AS (PARTITION BY doc_id ORDER BY line)

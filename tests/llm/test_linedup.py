@@ -43,14 +43,14 @@ def test_against_sequential_model(spark):
     want = plain(rows)
     got = linedup.dedup_lines(spark, docs).collect()
     assert len(got) == len(rows)
-    assert got[0].__fields__ == ["doc_id", "text", "n_lines", "_n_lines", "n_removed", "run_floor"]
+    assert got[0].__fields__ == ["doc_id", "text", "n_lines", "_n_lines", "n_removed", "longest_run"]
     texts = dict(rows)
     for r in got:
         before = texts[r["doc_id"]]
         assert r["text"] == (None if before is None else want[r["doc_id"], before]), r["doc_id"]
         if before is not None:
             assert r["n_removed"] == before.count("\n") - r["text"].count("\n") or r["text"] == ""
-    assert next(r for r in got if r["doc_id"] == 303)["run_floor"] == 4096
+    assert next(r for r in got if r["doc_id"] == 303)["longest_run"] == 4999
 
 
 def test_suffixes_are_ordered(spark):
@@ -78,3 +78,53 @@ def test_nulls_and_empty(spark):
     got = sorted((r["doc_id"] is None, r["text"] or "-", r["n_removed"]) for r in linedup.dedup_lines(spark, docs).collect())
     assert got == [(False, line, 0), (True, "-", 0), (True, "-", 1)]
     assert linedup.dedup_lines(spark, docs.filter("false")).count() == 0
+
+
+def plain_runs(rows):
+    """(doc, index) -> lines of the run that a line begins or goes on in, by comparing with the source line by line."""
+    flat = {d: t.split("\n") for d, t in rows}
+    at = [(d, i) for d in sorted(flat) for i in range(len(flat[d]))]
+
+    def common(p, q):
+        n = 0
+        while p[1] + n < len(flat[p[0]]) and q[1] + n < len(flat[q[0]]) and flat[p[0]][p[1] + n] == flat[q[0]][q[1] + n]:
+            n += 1
+        return n
+
+    source = {}
+    for k, p in enumerate(at):
+        longest = max((common(p, q) for q in at[:k]), default=0)
+        if longest:
+            size = 1 << (longest.bit_length() - 1)
+            source[p] = next(q for q in at[:k] if common(p, q) >= size)
+    heads = {}
+    for (d, i), q in source.items():
+        if source.get((d, i - 1)) != (q[0], q[1] - 1):
+            heads[d, i] = common((d, i), q)
+    return heads
+
+
+def test_runs_against_brute_force(spark):
+    from lexweave.llm.common import Scratch
+
+    rng = random.Random(12)
+    base = [f"s{rng.randrange(9)}" for _ in range(40)]
+    rows = []
+    for d in range(25):
+        lines = []
+        for _ in range(rng.randrange(1, 4)):
+            a = rng.randrange(len(base))
+            lines += rng.choice([base[a : a + rng.randrange(1, 25)], [f"only {d} {a}"]])
+        rows.append((d, "\n".join(lines)))
+    rows.append((90, "x\n" * 30 + "x"))
+    scratch = Scratch(spark, "t")
+    rounds = list(linedup.repeated_suffixes(spark, spark.createDataFrame(rows, "doc_id long, text string"), scratch))
+    got = {(r["d"], r["i"]): r["n"] for r in linedup.runs(rounds, scratch).collect()}
+    assert got == plain_runs(rows) and max(got.values()) >= 20
+
+
+def test_line_identity_ids_and_names(spark):
+    rows = [("7", "one line with a\ttab inside it\n", 1, 2), ("x", "one line with a tab inside it", 3, 4), (None, " \tone line with a\ttab inside it\r", 5, 6), ("x", None, 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, _gone int, _d int")
+    got = linedup.dedup_lines(spark, docs).collect()
+    assert {(r["doc_id"], r["text"], r["_gone"], r["_d"]) for r in got} == {rows[0], rows[1], (None, "", 5, 6), rows[3]}
