@@ -123,7 +123,7 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, fn) -> DataFrame:
     schema = StructType(df.schema.fields + StructType.fromDDL(fields).fields)
     types = to_arrow_schema(StructType.fromDDL(fields)).types
     out_names = schema.names
-    texts = [f.name for f in df.schema if f.name in inputs and f.dataType.simpleString() == "string"]
+    texts = [f.name for f in df.schema if f.name in inputs and f.dataType.simpleString() in ("string", "binary")]
 
     def run(batches):
         for batch in steps(batches, *texts):

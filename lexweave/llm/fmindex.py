@@ -13,7 +13,8 @@ documents that carries the hits found so far; nothing about the documents is shu
 
 Defined cases: null, empty and wordless texts have no words and no hits; null or wordless items have no windows and never
 occur; items with a null id are searched and removed but not listed; repeated items and rows are each treated alike;
-with an empty benchmark nothing is hit. Extra columns stay.
+with an empty benchmark nothing is hit; a very long text is a shard of its own; windows that several items share are listed
+for all of them. Extra columns stay, also where they have the names of ours.
 """
 
 from __future__ import annotations
@@ -264,8 +265,9 @@ def find(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFram
         if out is None:
             out = add_columns(docs, ["text"], fields, run)
         else:
-            old = out.withColumnsRenamed({hits: "_before_hits", items: "_before_items"}).drop(size)
-            out = add_columns(old, ["text", "_before_hits", "_before_items"], fields, run).drop("_before_hits", "_before_items")
+            before = fresh(docs, "_before_hits", "_before_items")
+            old = out.withColumnsRenamed({hits: before[0], items: before[1]}).drop(size)
+            out = add_columns(old, ["text", *before], fields, run).drop(*before)
     return out
 
 

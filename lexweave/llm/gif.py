@@ -6,7 +6,8 @@ grey samples of frames 576 wide, compressed by LZW with dictionary resets.
 
 Defined cases: a null text is stored like an empty one; a media value that is null or no GIF decodes to no frames
 (``decode_column`` gives null); a truncated code stream leaves the rest of its frame at the background; repeated rows
-and equal texts give equal bytes; extra columns pass through.
+and equal texts give equal bytes; a very long text is many frames, decoded one at a time; an empty table gives an empty one;
+extra columns pass through, also where they have the names of ours.
 """
 
 from __future__ import annotations
@@ -304,38 +305,46 @@ def decode_column(df: DataFrame, column: str = "media") -> DataFrame:
     def run(media):
         out = [[], []]
         for m in media:
+            stored, told = [], []
             try:
-                got = list(decode(m or b""))
+                for i, f in enumerate(decode(m or b"")):
+                    stored.append(samples([f]))
+                    told.append({"frame": i, "delay_cs": f.delay, "width": f.width, "height": f.height, "histogram": histogram(f)})
             except ValueError:
-                out[0].append(None)
-                out[1].append(None)
-                continue
-            out[0].append(samples(got))
-            out[1].append([{"frame": i, "delay_cs": f.delay, "width": f.width, "height": f.height, "histogram": histogram(f)} for i, f in enumerate(got)])
+                stored = told = None
+            out[0].append(None if told is None else b"".join(stored))
+            out[1].append(told)
         return out
 
     return add_columns(df, [column], f"`{payload}` binary, `{frames}` {FRAME_DDL}", run)
 
 
+DIGESTS = {"payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string"}
+
+
 def digests(df: DataFrame, column: str = "media") -> DataFrame:
-    """Sizes, digests and a feature of what a media column decodes to; null for no GIF."""
+    """Sizes, digests and a feature of what a media column decodes to, frame by frame; null for no GIF."""
 
     def run(media):
         out = [[], [], [], [], [], []]
         for m in media:
+            stored, hist, n, delay = [], 0, 0, 0
             try:
-                frames = list(decode(m or b""))
+                for f in decode(m or b""):
+                    stored.append(samples([f]))
+                    hist, n, delay = np.array(histogram(f)) + hist, n + 1, delay + f.delay
             except ValueError:
                 row = (None,) * 6
             else:
-                p, hist = samples(frames), np.sum([histogram(f) for f in frames], axis=0)
-                feature = f"frames={len(frames)};cs={sum(f.delay for f in frames)};hist=" + ",".join(map(str, hist))
+                p = b"".join(stored)
+                feature = f"frames={n};cs={delay};hist=" + ",".join(map(str, hist if n else ()))
                 row = (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature)
             for made, value in zip(out, row, strict=True):
                 made.append(value)
         return out
 
-    return add_columns(df, [column], "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string", run)
+    names = fresh(df, *DIGESTS)
+    return add_columns(df, [column], ", ".join(f"`{n}` {k}" for n, k in zip(names, DIGESTS.values(), strict=True)), run)
 
 
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

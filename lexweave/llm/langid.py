@@ -5,11 +5,13 @@ to BUCKETS cells). A document is a mixture of languages: expectation-maximisatio
 trigram likelihoods. The language set is grown from the best single language and a language is added only while the
 likelihood gains more than PENALTY * ln(effective trigrams).
 
-Learning uses at most DOCS_PER_LANG whole documents of each language, chosen by a hash of the id; this bounds the
+Learning uses at most DOCS_PER_LANG whole documents of each language, chosen by a hash of id and text; this bounds the
 model's cost, not what is scored. Scoring looks at whole texts, one row at a time, without any shuffle.
 
 Defined cases: a null text, an empty text and a text without letters give 'und' with score 0; rows with null lang are
-never learned from; with nothing to learn from every row is 'und'; repeated rows are scored alike; extra columns stay.
+never learned from; with nothing to learn from every row is 'und'; repeated rows are scored alike; very long texts become
+counts of cells, no larger than BUCKETS; equal proportions go by the language's name, equally likely languages too; extra columns stay, also
+where they have the names of ours.
 """
 
 from __future__ import annotations

@@ -101,16 +101,15 @@ def runs(rounds: list[tuple[int, DataFrame]], scratch: Scratch) -> DataFrame:
     goes_on = (before == F.col("i") - 1) & (source["d"] == F.col("q.d")) & (source["h"] == F.col("q.h")) & (source["i"] == F.col("q.i") - 1)
     heads = copies.withColumn("goes_on", F.coalesce(goes_on, F.lit(False))).filter(~F.col("goes_on"))
     heads = scratch.cut(heads.select("d", "h", "i", F.col("q.d").alias("qd"), F.col("q.h").alias("qh"), F.col("q.i").alias("qi"), F.col("n").alias("top"), "n"))
-    for size, now in reversed(rounds[:-1]):
+    for k, (size, now) in enumerate(reversed(rounds[:-1])):
         own = now.select(F.col("d").alias("_d"), F.col("h").alias("_h"), F.col("i").alias("_i"), F.col("r").alias("own"))
         other = own.withColumnsRenamed({"_d": "_qd", "_h": "_qh", "_i": "_qi", "own": "other"})
-        open_ = heads.filter(F.col("top") > size)
-        met = open_.join(own, (F.col("d") == F.col("_d")) & (F.col("h") == F.col("_h")) & (F.col("i") + F.col("n") == F.col("_i")), "left")
-        met = met.join(other, (F.col("qd") == F.col("_qd")) & (F.col("qh") == F.col("_qh")) & (F.col("qi") + F.col("n") == F.col("_qi")), "left")
-        longer = met.withColumn("n", F.col("n") + F.when(F.col("own") == F.col("other"), size).otherwise(0)).select(heads.columns)
-        after = scratch.cut(longer.unionByName(heads.filter(F.col("top") <= size)))
-        scratch.drop(heads)
-        heads = after
+        open_ = F.col("top") > size
+        met = heads.join(own, open_ & (F.col("d") == F.col("_d")) & (F.col("h") == F.col("_h")) & (F.col("i") + F.col("n") == F.col("_i")), "left")
+        met = met.join(other, open_ & (F.col("qd") == F.col("_qd")) & (F.col("qh") == F.col("_qh")) & (F.col("qi") + F.col("n") == F.col("_qi")), "left")
+        grown = met.withColumn("n", F.col("n") + F.when(F.col("own") == F.col("other"), size).otherwise(0)).select("d", "h", "i", "qd", "qh", "qi", "top", "n")
+        # A few rounds make one job: they are small, and each join depends on the one before.
+        heads = scratch.cut(grown) if k % 3 == 2 else grown
     return heads.select("d", "h", "i", "n")
 
 

@@ -8,7 +8,11 @@ seed gives each document the same probability, and the choice costs one more map
 
 Defined cases: a null or empty text has size 0 (its document is emitted like any other of its source, adding no
 words); a null source is a source of its own, last in order; repeated rows with one id are decided alike; an empty
-table gives an empty mix; a source of size 0 has target 0 and rate 0. Extra columns are kept as they are.
+table gives an empty mix; a source of size 0 has target 0 and rate 0; a very long text is a size like any other; of equally near seeds the first
+counts, sources with equal caps go by name. Extra columns are kept as they are, also where they have the names of ours.
+
+Sources are numbered and ordered in windows over one row a source: sources are a dimension that fits one task (some
+millions at most), whatever the number of documents.
 """
 
 from __future__ import annotations
@@ -73,10 +77,10 @@ def plan(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def decide(docs: DataFrame, per_source: DataFrame) -> DataFrame:
     """docs with source_size, target and copies joined on; only the row's id and source are looked at."""
-    src, size, target, n = fresh(docs, "mix_source", "source_size", "target", "copies")
-    p = per_source.select(F.col("source").alias(src), F.col("source_size").alias(size), F.col("target").alias(target), F.col("rate").alias("mix_rate_"), F.col("seed").alias("mix_seed_"))
-    joined = docs.join(p, docs["source"].eqNullSafe(p[src])).withColumn(n, copies(docs["doc_id"], F.col("mix_rate_"), F.col("mix_seed_")))
-    return joined.drop(src, "mix_rate_", "mix_seed_")
+    src, size, target, rate, seed, n = fresh(docs, "mix_source", "source_size", "target", "mix_rate", "mix_seed", "copies")
+    p = per_source.select(*[F.col(c).alias(name) for c, name in zip(("source", "source_size", "target", "rate", "seed"), (src, size, target, rate, seed), strict=True)])
+    joined = docs.join(p, docs["source"].eqNullSafe(p[src])).withColumn(n, copies(docs["doc_id"], F.col(rate), F.col(seed)))
+    return joined.drop(src, rate, seed)
 
 
 def mix(spark: SparkSession, docs: DataFrame) -> DataFrame:

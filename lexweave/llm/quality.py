@@ -3,14 +3,15 @@
 A document becomes a vector of statistics that do not depend on its language, each smoothed towards a typical value so
 that short texts are not extreme, then log- or logit-transformed. Each class has a mean and a covariance, shrunk
 towards the pooled diagonal; its Cholesky factor is computed once and shipped. The score is the posterior of label 1
-from the difference of the log-densities (Mahalanobis terms by triangular solve) and the log-prior ratio.
+from the difference of the log-densities (Mahalanobis terms by the inverse of the factor) and the log-prior ratio.
 
 Fitting uses at most ROWS_PER_CLASS labelled rows of each class, chosen by a hash of the id. Scoring is one narrow pass
 over whole texts.
 
 Defined cases: null and empty texts get the vector of the smoothing constants and so a score like any other; labels
 null or not 0/1 are not learned from; if a class has no row, the score is the share of label 1 (0.5 with no labels at
-all); a document labelled twice counts twice; repeated rows are scored alike; extra columns stay.
+all); a document labelled twice counts twice; repeated rows are scored alike; very long texts are statistics like any others;
+equal scores are equal predictions, the cut itself is accepted; extra columns stay, also where they have the names of ours.
 """
 
 from __future__ import annotations
