@@ -173,17 +173,27 @@ def resource_code(stem: Column) -> Column:
     return F.regexp_replace(stem, r"([-_]\d[\d.\-]*)+$", "")
 
 
-# Substrings of licence addresses, in order, and their labels.
+# Parts of licence addresses, in order, and their labels.
 LICENCES = (
-    ("by-nc-sa", "CC BY-NC-SA"), ("by-nc-nd", "CC BY-NC-ND"), ("by-nc", "CC BY-NC"), ("by-sa", "CC BY-SA"), ("licenses/by/", "CC BY"), ("publicdomain/zero", "CC0"), ("apache", "Apache"),
-    ("mit", "MIT"), ("gpl", "GPL"),
-)
+    ("creativecommons.org/licenses/by/4", "CC BY 4.0"),
+    ("creativecommons.org/licenses/by/3", "CC BY 3.0"),
+    ("creativecommons.org/licenses/by-sa/4", "CC BY-SA 4.0"),
+    ("creativecommons.org/licenses/by-sa/3", "CC BY-SA 3.0"),
+    ("creativecommons.org/licenses/by-sa/", "CC BY-SA"),
+    ("creativecommons.org/licenses/by-nc/4", "CC BY-NC 4.0"),
+    ("creativecommons.org/licenses/by/", "CC BY"),
+    ("opensource.org/licenses/Apache-2.0", "Apache 2.0"),
+    ("opensource.org/licenses/MIT", "MIT"),
+    ("cecill.info", "CeCILL-C"),
+    ("opendefinition.org/licenses/odc-by", "ODC-BY"),
+)
 
 
 def licence_label(url: Column) -> Column:
-    out = F.when(url.isNull(), "N/A").when(url == "wordnet", "wordnet")
+    """A short label for a licence's address or name: the first part of LICENCES that it contains, else as it is."""
+    out = F.when(F.coalesce(url, F.lit("")) == "", "N/A").when(F.lower(url) == "wordnet", "WordNet")
     for part, label in LICENCES:
-        out = out.when(F.lower(url).contains(part), label)
+        out = out.when(url.contains(part), label)
     return out.otherwise(url)
 
 

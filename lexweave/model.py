@@ -11,7 +11,6 @@ POS = ("NOUN", "VERB", "ADJ", "ADV", "CONJ", "ADP", "NREF", "UNK")
 POS_OF_CODE = {"n": "NOUN", "v": "VERB", "a": "ADJ", "r": "ADV", "s": "ADJ", "c": "CONJ", "p": "ADP", "x": "NREF", "u": "UNK"}
 SENSE_TYPES = ("antonym", "derivation", "pertainym", "participle")
 CONCEPT_TYPES = ("hypernym", "instance_hypernym", "mero_member", "mero_part", "mero_substance", "causes", "entails", "antonym")
-DROPPED_CONCEPT_TYPES = ("agent", "patient", "result", "co_agent_instrument", "instrument", "co_agent_result", "co_agent_patient", "co_patient_instrument", "co_result_instrument")
 SENSE_INVERSES = {t: t for t in SENSE_TYPES}
 CONCEPT_INVERSES = {
     "hypernym": "hyponym",

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType
 from ..functions.text import pos_of, xml_id
 from ..model import CONCEPT_TYPES, SAME_CATEGORY_TYPES, SENSE_TYPES, SOURCE_CONCEPT_PAIRS, SOURCE_SENSE_PAIRS
 from . import relations as rel
-from .ids import first_by
+from .ids import first_by, number
 
 LMF_TAGS = ("LexicalEntry", "ExternalLexicalEntry", "Synset", "ExternalSynset")
 def _seq() -> Column:
@@ -119,13 +119,14 @@ def substring_match(pairs: DataFrame) -> DataFrame:
     return best.select("example_id", *[f"x.{c}" for c in rest], (F.col("x._at") - 1).alias("start"), (F.col("x._at") - 1 + F.length("x.form")).alias("end"))
 
 
-#: Characters at which a match is grown to a whole token.
-BOUNDARIES = " \t\n.,;:!?\"'()[]{}…–—"
+# Characters at which a token ends.
+BOUNDARIES = " \t\n.,;:!?\"'()[]{}-–—/\\"
+_EDGE = "[" + "".join(f"\\{c}" if c in "[]-\\" else c for c in BOUNDARIES) + "]"
 
 
 def grow(text: Column, start: Column, end: Column) -> tuple[Column, Column]:
     """(start, end) grown to the token's boundaries."""
-    edge = "[ \\t\\n.,;:!?\"'()\\[\\]{}…–—]"
+    edge = _EDGE
     before = F.regexp_extract(F.substring(text, F.lit(1), start), f"((?:(?!{edge})[\\s\\S])*)$", 1)
     after = F.regexp_extract(F.substring(text, end + 1, F.length(text)), f"^((?:(?!{edge})[\\s\\S])*)", 1)
     return start - F.length(before), end + F.length(after)
@@ -262,10 +263,14 @@ SPANS = "array<struct<start:int,end:int,sense:string>>"
 
 
 def _record(df: DataFrame, layer: int, tag: str, attrs: dict[str, Column], children: Column, text: Column | None = None, spans: Column | None = None) -> DataFrame:
-    """Records in the form of sources.xml.read: layers in the order in which a merge needs them, then document order."""
+    """Records in the form of sources.xml.read: layers in the order in which a merge needs them, then document order, then
+    the order of attributes; each record has a number of its own."""
+    named = df.select("*", *[v.cast("string").alias(f"_by_{k}") for k, v in attrs.items()])
+    df = number(named, ["seq", "sub", *(f"_by_{k}" for k in attrs)], "_no")
+    attrs = {k: F.col(f"_by_{k}") for k in attrs}
     pairs = [x for k, v in attrs.items() for x in (F.lit(k), v)]
     return df.select(
-        F.col("seq.resource_ord").alias("resource_ord"), (F.lit(layer << 50).cast("long") + F.col("seq.element_ord") * 4096 + F.coalesce(F.col("sub"), F.lit(0))).alias("element_ord"), F.lit(tag).alias("tag"),
+        F.col("seq.resource_ord").alias("resource_ord"), (F.lit(layer << 50).cast("long") + F.col("_no")).alias("element_ord"), F.lit(tag).alias("tag"),
         F.create_map(*pairs).alias("attrs"), "root", (F.lit(None).cast("string") if text is None else text).alias("text"), (F.array().cast(SPANS) if spans is None else spans.cast(SPANS)).alias("spans"), children.alias("children"),
     )
 
@@ -297,7 +302,7 @@ def as_elements(spark: SparkSession, elements: DataFrame, index: DataFrame, exis
     # A relation has no place of its own in the document: it belongs to its source's resource, ordered by its ends.
     places = table.groupBy("concept_id").agg(F.min("seq").alias("seq"))
     for layer, tag, rel_table, place in ((7, "ConceptRelation", between, places), (6, "SenseRelation", lexical, kept.groupBy(F.col("sense_id").alias("concept_id")).agg(F.min("seq").alias("seq")))):
-        r = rooted(rel_table.join(place, F.col("source") == F.col("concept_id"))).withColumn("sub", F.pmod(F.xxhash64("type", "target"), F.lit(4096)))
+        r = rooted(rel_table.join(place, F.col("source") == F.col("concept_id"))).withColumn("sub", F.lit(0))
         out = out.unionByName(_record(r, layer, tag, {"relation_type": F.col("type"), "source": F.col("source"), "target": F.col("target")}, _children_of(_provenance(F.col("root")))))
     pairs = example_candidates(elements, all_senses, lexeme_table, table)
     matched = match_examples(spark, pairs.select("example_id", "text", "sense_id", "form", "ord"), analyse)
@@ -318,14 +323,15 @@ def as_elements(spark: SparkSession, elements: DataFrame, index: DataFrame, exis
 def example_candidates(elements: DataFrame, all_senses: DataFrame, lexeme_table: DataFrame, concept_table: DataFrame) -> DataFrame:
     """(example_id, text, sense_id, form, ord, seq, sub): for an example of a sense its lexeme's forms, for one of a synset
     those of all its senses."""
-    ident = F.shiftleft(F.col("seq.resource_ord").cast("long"), 48) + F.col("seq.element_ord") * 1024 + F.col("sub")
     own = _children(elements, ("LexicalEntry", "ExternalLexicalEntry"), "Sense/Example")
     own = own.select("seq", F.col("ord").alias("sub"), "text", F.element_at("children", F.col("parent") + 1)["attrs"]["id"].alias("sense")).filter("text IS NOT NULL")
     own = own.join(all_senses.select("sense", "sense_id", "lexeme_id"), "sense").select("seq", "sub", "text", "sense_id", "lexeme_id")
     shared = _children(elements, ("Synset", "ExternalSynset"), "Example").select("seq", F.col("ord").alias("sub"), "text", F.col("record").alias("synset")).filter("text IS NOT NULL")
     members = all_senses.select("concept_id", "sense_id", "lexeme_id").distinct()
     shared = shared.join(concept_table.select("synset", "concept_id"), "synset").join(members, "concept_id").select("seq", "sub", "text", "sense_id", "lexeme_id")
-    both = own.unionByName(shared).withColumn("example_id", ident)
+    both = own.unionByName(shared)
+    numbers = number(both.select(F.col("seq").alias("_seq"), F.col("sub").alias("_sub")).distinct(), ["_seq", "_sub"], "example_id")
+    both = both.join(numbers, (F.col("seq") == F.col("_seq")) & (F.col("sub") == F.col("_sub")))
     return both.join(lexeme_table.select("lexeme_id", F.posexplode("forms").alias("ord", "form")), "lexeme_id").select("example_id", "text", "sense_id", "form", "ord", "seq", "sub")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,52 +190,41 @@ def parents(edges: DataFrame, order: str = "id") -> DataFrame:
     return edges.groupBy("source").agg(F.min_by("target", order).alias("target"))
 
 
-def ancestors(spark: SparkSession, edges: DataFrame, starts: DataFrame | None = None, most: int = 64) -> DataFrame:
+def ancestors(spark: SparkSession, edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """(node, ancestor, depth) along first parents, each ancestor once, at its smallest depth.
 
-    A round extends all chains at once; a chain that has come back to itself ends. starts: (node), default all sources.
+    Pointer doubling: round k knows the 2^k-th parent of each node and extends all chains by it, so rounds grow with the
+    logarithm of the longest chain. A chain that has come back to itself brings nothing new, which ends the rounds.
+    starts: (node), default all sources.
     """
     scratch = Scratch(spark, "ancestors")
     up = parents(edges) if "id" in edges.columns else edges.select("source", "target")
-    up = scratch.cut(up.select("source", "target"))
-    front = up.select(F.col("source").alias("node"), F.col("target").alias("ancestor"), F.lit(1).alias("depth"), F.array("source").alias("seen"))
+    jump = scratch.cut(up.select(F.col("source").alias("_from"), F.col("target").alias("_to")))
+    own = jump.select(F.col("_from").alias("node"))
     if starts is not None:
-        front = front.join(starts.select("node").distinct(), "node", "left_semi")
-    front = scratch.cut(front.filter("ancestor <> node"))
-    done = []
-    for depth in range(2, most + 2):
-        if front.isEmpty():
-            break
-        done.append(front.select("node", "ancestor", "depth"))
-        step = front.join(up, front["ancestor"] == up["source"]).filter(~F.array_contains(F.array_append("seen", F.col("ancestor")), F.col("target")))
-        front = scratch.cut(step.select("node", F.col("target").alias("ancestor"), F.lit(depth).alias("depth"), F.array_append("seen", F.col("ancestor")).alias("seen")))
-    if not done:
-        return spark.createDataFrame([], "node long, ancestor long, depth int")
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def chain(spark: SparkSession, edges: DataFrame, start: int, most: int = 64) -> DataFrame:
+        own = own.join(starts.select("node").distinct(), "node", "left_semi")
+    known, count, size = scratch.cut(own.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth"))), None, 1
+    while True:
+        further = known.join(jump, F.col("ancestor") == F.col("_from")).select("node", F.col("_to").alias("ancestor"), (F.col("depth") + size).alias("depth"))
+        after = scratch.cut(known.unionByName(further).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
+        scratch.drop(known)
+        known, before, count = after, count, after.count()
+        if count == before:
+            return known.filter("node <> ancestor")
+        then = jump.select(F.col("_from").alias("_mid"), F.col("_to").alias("_end"))
+        after = scratch.cut(jump.join(then, F.col("_to") == F.col("_mid")).select("_from", F.col("_end").alias("_to")))
+        scratch.drop(jump)
+        jump, size = after, size * 2
+
+
+def chain(spark: SparkSession, edges: DataFrame, start: int) -> DataFrame:
     """(depth, node) from start up its first parents, start at depth 0."""
-    up = parents(edges)
-    return spark.sql(
-        """
-        WITH RECURSIVE walk(node, depth, seen) MAX RECURSION LEVEL 100 AS (
-          SELECT CAST(:start AS BIGINT), 0, array(CAST(:start AS BIGINT))
-          UNION ALL
-          SELECT CAST(u.target AS BIGINT), w.depth + 1, array_append(w.seen, CAST(u.target AS BIGINT))
-          FROM walk w JOIN {up} u ON u.source = w.node WHERE NOT array_contains(w.seen, CAST(u.target AS BIGINT)) AND w.depth < :most
-        )
-        SELECT depth, node FROM walk
-        """,
-        args={"start": start, "most": most},
-        up=up,
-    )
-
-
-def find_path(spark: SparkSession, edges: DataFrame, start: int, goal: int, most: int = 64) -> list[int] | None:
+    first = spark.createDataFrame([(0, start)], "depth int, node long")
+    above = ancestors(spark, edges, first)
+    return first.unionByName(above.select(F.col("depth").cast("int").alias("depth"), F.col("ancestor").cast("long").alias("node")))
+
+
+def find_path(spark: SparkSession, edges: DataFrame, start: int, goal: int) -> list[int] | None:
     """A shortest path over all edges from start to goal, smaller nodes first among equals; None if there is none.
 
     Breadth first: a round joins the frontier with the edges, and each node is reached once.
@@ -244,7 +235,7 @@ def find_path(spark: SparkSession, edges: DataFrame, start: int, goal: int, most
     front = scratch.cut(spark.createDataFrame([(start, [start])], "node long, path array<long>"))
     seen = front.select("node")
     pair = edges.select(F.col("source").cast("long").alias("_s"), F.col("target").cast("long").alias("_t")).distinct()
-    for _ in range(most):
+    for k in itertools.count(1):
         step = front.join(pair, front["node"] == pair["_s"]).select(F.col("_t").alias("node"), F.array_append("path", F.col("_t")).alias("path"))
         front = scratch.cut(step.join(seen, "node", "left_anti").groupBy("node").agg(F.min("path").alias("path")))
         found = front.filter(F.col("node") == goal).select("path").first()
@@ -253,7 +244,8 @@ def find_path(spark: SparkSession, edges: DataFrame, start: int, goal: int, most
         if front.isEmpty():
             return None
         seen = seen.unionByName(front.select("node"))
-    return None
+        if k % 16 == 0:
+            seen = scratch.cut(seen)
 
 
 def pictograms(spark: SparkSession, synsets: DataFrame, pictures: DataFrame, relations: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ Ids are computed from the rows' own keys, so that no window over a whole table i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import with_norm
@@ -62,6 +62,38 @@ def lexicon(spark: SparkSession, sf_dir: str) -> Lexicon:
     return Lexicon.of(spark, languages=languages(spark), synsets=synsets, entries=e.select("id", "language_id", "pos"), forms=forms, senses=senses, definitions=definitions, synset_relations=acyclic, provenance=provenance)
 
 
+def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's tables as records of one resource, in the form of sources.xml.read: parts are concepts and words,
+    orders link them, documents explain them, every part is a kind of the part a third as far."""
+    part, orders, docs = table(spark, sf_dir, "part"), table(spark, sf_dir, "orders"), table(spark, sf_dir, "documents")
+    none = F.lit(None).cast("string")
+
+    def child(path: str, order: int, text: Column, **attrs) -> Column:
+        pairs = [x for k, v in attrs.items() for x in (F.lit(k), v)]
+        return F.struct(F.lit(path).alias("path"), F.lit(order).alias("ord"), F.lit(-1).alias("parent"), F.create_map(*pairs).alias("attrs"), text.alias("text"))
+
+    told = child("Provenance", 9, none, resource=F.lit("driver"), version=F.lit("1"))
+
+    def record(df: DataFrame, layer: int, tag: str, number: Column, children: Column | None = None, text: Column = none, **attrs) -> DataFrame:
+        pairs = [x for k, v in attrs.items() for x in (F.lit(k), v)]
+        return df.select(
+            F.lit(0).alias("resource_ord"), (F.lit(layer << 50).cast("long") + number).alias("element_ord"), F.lit(tag).alias("tag"), F.create_map(*pairs).alias("attrs"),
+            F.create_map(F.lit("id"), F.lit("driver"), F.lit("version"), F.lit("1")).alias("root"), text.alias("text"), F.array().cast("array<struct<start:int,end:int,sense:string>>").alias("spans"),
+            F.array(told).alias("children") if children is None else F.concat(children, F.array(told)).alias("children"),
+        )
+
+    key, named = F.col("p_partkey"), lambda prefix, c: F.concat(F.lit(prefix), c.cast("string"))
+    language = F.element_at(F.array(*map(F.lit, CODES)), F.col("p_size") % 4 + 1)
+    name, capitals = child("Wordform", 0, none, form=F.col("p_name")), child("Wordform", 1, none, form=F.upper("p_name"))
+    out = record(part, 1, "Concept", key, id=named("cili.i", key), ontological_category=F.col("p_type"))
+    out = out.unionByName(record(docs.filter("lang IS NOT NULL"), 2, "Gloss", F.col("doc_id"), text=F.col("text"), definiendum=named("cili.i", F.col("doc_id") % 500), language=F.col("lang")))
+    out = out.unionByName(record(part, 3, "Lexeme", key, F.when(key % 3 == 0, F.array(name, capitals)).otherwise(F.array(name)), id=named("w", key), language=language, grammatical_category=F.col("p_type")))
+    order = F.col("o_orderkey")
+    out = out.unionByName(record(orders, 4, "Sense", order, id=named("s", order), signifier=named("w", F.col("o_custkey")), signified=named("cili.i", order % 1000)))
+    kind = part.filter("p_partkey >= 1")
+    return out.unionByName(record(kind, 5, "ConceptRelation", key, relation_type=F.lit("hypernym"), source=named("cili.i", key), target=named("cili.i", F.floor(key / 3))))
+
+
 COMMON_SQL = """
 WITH RECURSIVE languages AS (SELECT * FROM (VALUES (1::BIGINT, 'de'), (2, 'en'), (3, 'es'), (4, 'fr')) t(id, code)),
 synsets AS (SELECT p_partkey + 1 AS id, CASE WHEN p_partkey % 10 <> 9 THEN 'i' || p_partkey END AS ili, p_type AS pos FROM part),

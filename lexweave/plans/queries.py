@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..model import CONCEPT_INVERSES, SENSE_INVERSES
-from ..operators import convert, graph, post, quality, search, stats
+from ..operators import convert, graph, ingest, post, quality, search, stats
 from ..operators import relations as rel
 from ..operators.ids import first_by, number
 from ..scratch import shared_dir
@@ -32,7 +32,6 @@ def query(name: str, sql: str | None = None, common: bool = True):
 
 FOUND = ["form", "language", "pos", "ili", "sense_id", "definition"]
 FOUND_SQL = " SELECT form, language, pos, ili, sense_id, definition FROM star LEFT JOIN en USING (synset_id) "
-RANK0 = "star"
 
 
 def _term(spark: SparkSession, sf_dir: str) -> str:
@@ -53,9 +52,9 @@ def search_glob(spark, sf):
     return search.by_glob(lexicon(spark, sf), "*a*[b-m]*").select(*FOUND)
 
 
-@query("search_glob_forms", " SELECT DISTINCT form, language FROM star WHERE norm LIKE 'a%' AND language = 'en'")
+@query("search_glob_forms", " SELECT DISTINCT form, language FROM star WHERE norm LIKE 'b%' AND language = 'en'")
 def search_glob_forms(spark, sf):
-    return search.glob_forms(lexicon(spark, sf), "A*", "en")
+    return search.glob_forms(lexicon(spark, sf), "B*", "en")
 
 
 @query("search_ili", FOUND_SQL + "WHERE ili = 'i42'")
@@ -135,9 +134,24 @@ def extra_json(spark, sf):
     return table(spark, sf, "events").select("event_id", T.extra_json(F.from_json("props", "map<string,string>")).alias("extra"))
 
 
-@query("licence_labels", """ SELECT doc_id, CASE WHEN source IS NULL THEN 'N/A' WHEN contains(lower(source), 'mit') THEN 'MIT' ELSE source END AS label, format('{:,}', n_chars) AS shown FROM documents""", common=False)
+#: Addresses and names as resources state them.
+STATED = (
+    "https://creativecommons.org/licenses/by/4.0/", "https://creativecommons.org/licenses/by/3.0/", "https://creativecommons.org/licenses/by/2.0/", "https://creativecommons.org/licenses/by-sa/4.0/",
+    "https://creativecommons.org/licenses/by-sa/3.0/", "https://creativecommons.org/licenses/by-sa/", "https://creativecommons.org/licenses/by-nc/4.0/", "https://opensource.org/licenses/Apache-2.0",
+    "https://opensource.org/licenses/MIT", "http://www.cecill.info/licences", "http://opendefinition.org/licenses/odc-by/", "WordNet", "wordnet", "", "permitted use", "https://creativecommons.org/publicdomain/zero/1.0/",
+)
+
+
+@query("licence_labels", f"""
+WITH d AS (SELECT doc_id, n_chars, {list(STATED)}[doc_id % {len(STATED) + 1} + 1] AS raw FROM documents)
+SELECT doc_id, CASE WHEN raw IS NULL OR raw = '' THEN 'N/A' WHEN lower(raw) = 'wordnet' THEN 'WordNet'
+  WHEN contains(raw, 'creativecommons.org/licenses/by/') THEN CASE substr(split_part(raw, '/by/', 2), 1, 1) WHEN '4' THEN 'CC BY 4.0' WHEN '3' THEN 'CC BY 3.0' ELSE 'CC BY' END
+  WHEN contains(raw, 'creativecommons.org/licenses/by-sa/') THEN CASE substr(split_part(raw, '/by-sa/', 2), 1, 1) WHEN '4' THEN 'CC BY-SA 4.0' WHEN '3' THEN 'CC BY-SA 3.0' ELSE 'CC BY-SA' END
+  WHEN contains(raw, 'creativecommons.org/licenses/by-nc/4') THEN 'CC BY-NC 4.0' WHEN contains(raw, 'licenses/Apache-2.0') THEN 'Apache 2.0' WHEN contains(raw, 'licenses/MIT') THEN 'MIT'
+  WHEN contains(raw, 'cecill.info') THEN 'CeCILL-C' WHEN contains(raw, 'licenses/odc-by') THEN 'ODC-BY' ELSE raw END AS label, format('{{:,}}', n_chars) AS shown FROM d""", common=False)
 def licence_labels(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.licence_label(F.col("source")).alias("label"), T.thousands(F.col("n_chars")).alias("shown"))
+    raw = F.get(F.array(*map(F.lit, STATED)), (F.col("doc_id") % (len(STATED) + 1)).cast("int"))
+    return table(spark, sf, "documents").select("doc_id", T.licence_label(raw).alias("label"), T.thousands(F.col("n_chars")).alias("shown"))
 
 
 # ---- merge phases ----
@@ -437,6 +451,45 @@ def quality_concepts_without_gloss(spark, sf):
     return quality.concepts_without_gloss(lex.synsets, lex.definitions, lex.senses)
 
 
+# ---- merging ----
+
+
+@query("ingest_merge", """
+WITH p AS (SELECT p_partkey AS k, p_name, p_type, row_number() OVER (ORDER BY p_partkey) AS id, ['de', 'en', 'es', 'fr'][p_size % 4 + 1] AS lang FROM part),
+f AS (SELECT id AS entry_id, p_name AS form, 0 AS n FROM p UNION ALL SELECT id, upper(p_name), 1 FROM p WHERE k % 3 = 0 AND upper(p_name) <> p_name),
+s AS (SELECT e.id AS entry_id, y.id AS synset_id, min(o_orderkey) AS k FROM orders JOIN p e ON e.k = o_custkey JOIN p y ON y.k = o_orderkey % 1000 GROUP BY ALL),
+g AS (SELECT y.id AS synset_id, lang_ AS language, arg_min(text, doc_id) AS text, min(doc_id) AS k FROM (SELECT *, lang AS lang_ FROM documents) JOIN p y ON y.k = doc_id % 500 GROUP BY ALL),
+r AS (SELECT a.id AS source, b.id AS target FROM p a JOIN p b ON b.k = a.k // 3 WHERE a.k >= 1),
+o AS (SELECT 'synsets' AS item, id::VARCHAR AS a, 'i' || k AS b, p_type AS c, NULL AS d FROM p
+UNION ALL SELECT 'entries', id::VARCHAR, lang, p_type, NULL FROM p
+UNION ALL SELECT 'forms', entry_id::VARCHAR, form, n::VARCHAR, NULL FROM f
+UNION ALL SELECT 'senses', (row_number() OVER (ORDER BY k))::VARCHAR, entry_id::VARCHAR, synset_id::VARCHAR, NULL FROM s
+UNION ALL SELECT 'definitions', (row_number() OVER (ORDER BY k))::VARCHAR, synset_id::VARCHAR, language, md5(text) FROM g
+UNION ALL SELECT 'synset_relations', source::VARCHAR, 'hypernym', target::VARCHAR, NULL FROM r UNION ALL SELECT 'synset_relations', target::VARCHAR, 'hyponym', source::VARCHAR, NULL FROM r
+UNION ALL SELECT 'provenance', t, n::VARCHAR, NULL, NULL FROM (SELECT 'synsets' AS t, count(*) AS n FROM p UNION ALL SELECT 'entries', count(*) FROM p UNION ALL SELECT 'senses', count(*) FROM s
+  UNION ALL SELECT 'definitions', count(*) FROM g UNION ALL SELECT 'synset_relations', count(*) FROM r))
+SELECT * FROM o""", common=False)
+def ingest_merge(spark, sf):
+    """All tables that a merge of the driver's tables as records gives, before its cleaning phases."""
+    lex, _ = ingest.build(spark, adapter.elements(spark, sf), clean=False)
+    code = lex.languages.select(F.col("id").alias("language_id"), "code")
+    text = lambda item, df, *columns: df.select(F.lit(item).alias("item"), *[c.cast("string").alias(n) for c, n in zip(columns, "abcd")], *[F.lit(None).cast("string").alias(n) for n in "abcd"[len(columns) :]])
+    c = F.col
+    parts = [
+        text("synsets", lex.synsets, c("id"), c("ili"), c("pos")),
+        text("entries", lex.entries.join(code, "language_id"), c("id"), c("code"), c("pos")),
+        text("forms", lex.forms, c("entry_id"), c("form"), c("rank")),
+        text("senses", lex.senses, c("id"), c("entry_id"), c("synset_id")),
+        text("definitions", lex.definitions.join(code, "language_id"), c("id"), c("synset_id"), c("code"), F.md5(c("definition").cast("binary"))),
+        text("synset_relations", lex.synset_relations, c("source"), c("type"), c("target")),
+        text("provenance", lex.provenance.filter("resource = 'driver'").groupBy("table_name").count(), c("table_name"), c("count")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @query("quality_self_loops", " SELECT DISTINCT source, type FROM rels WHERE source = target")
 def quality_self_loops(spark, sf):
     return quality.self_loops(adapter.relations(spark, sf))
@@ -453,10 +506,10 @@ def quality_undeclared_entries(spark, sf):
     return quality.undeclared_entries(s, table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id")))
 
 
-@query("quality_examples", " SELECT o_orderkey AS id, count(l_orderkey)::BIGINT AS annotations FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_partkey < 50) GROUP BY 1", common=False)
+@query("quality_examples", " SELECT o_orderkey AS id, count(l_orderkey)::BIGINT AS annotations FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type = 'PROMO') GROUP BY 1", common=False)
 def quality_examples(spark, sf):
     a = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("example_id"), F.col("l_partkey").alias("sense_id"))
-    senses = table(spark, sf, "part").filter("p_partkey < 50").select(F.col("p_partkey").alias("id"))
+    senses = table(spark, sf, "part").filter("p_type = 'PROMO'").select(F.col("p_partkey").alias("id"))
     return quality.unanchored_examples(table(spark, sf, "orders").select(F.col("o_orderkey").alias("id")), a, senses)
 
 

@@ -136,13 +136,13 @@ def write_log(reversed_relations: DataFrame, cycles: DataFrame, path: str) -> No
 
 
 def latex_table(rows: list, columns: list[str], heads: list[str] | None = None, long: bool = False) -> str:
-    """A collected small table as LaTeX; numbers get thousands separators, missing values a dash."""
+    """A collected small table as LaTeX; numbers get thousands separators in braces, so that none is set as punctuation, missing values a dash."""
     special = str.maketrans({c: f"\\{c}" for c in "&%$#_{}"})
 
     def cell(v):
         if v is None:
             return "---"
-        return f"{v:,}" if isinstance(v, int) else f"{v:,.1f}" if isinstance(v, float) else str(v).translate(special)
+        return f"{v:,}".replace(",", "{,}") if isinstance(v, int) else f"{v:,.1f}".replace(",", "{,}") if isinstance(v, float) else str(v).translate(special)
 
     numeric = [all(isinstance(r[c], (int, float)) or r[c] is None for r in rows) for c in columns]
     kind = "longtable" if long else "tabular"

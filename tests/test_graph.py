@@ -65,6 +65,14 @@ def test_chains_and_paths(spark):
     assert graph.find_path(spark, edges, 4, 1) == [4, 3, 2, 1] and graph.find_path(spark, edges, 1, 4) is None and graph.find_path(spark, edges, 4, 9) == [4, 3, 9]
 
 
+def test_chains_have_no_longest_length(spark):
+    edges = spark.createDataFrame([(k, k, k - 1) for k in range(1, 81)], "id long, source long, target long")
+    assert [r["node"] for r in graph.chain(spark, edges, 80).orderBy("depth").collect()] == list(range(80, -1, -1))
+    assert graph.find_path(spark, edges, 80, 1) == list(range(80, 0, -1))
+    ring = spark.createDataFrame([(k, k, (k + 1) % 70) for k in range(70)] + [(100, 100, 0)], "id long, source long, target long")
+    assert [r["node"] for r in graph.chain(spark, ring, 100).orderBy("depth").collect()] == [100, *range(70)]
+
+
 def test_pictograms(spark):
     synsets = spark.createDataFrame([(k,) for k in range(1, 7)], "id long")
     relations = spark.createDataFrame([(1, 2, 1, "hypernym"), (2, 3, 2, "hypernym"), (3, 4, 1, "eq_synonym"), (4, 5, 1, "similar")], "id long, source long, target long, type string")

@@ -65,7 +65,11 @@ def test_small_functions(spark):
     assert one(T.sense_key, "oewn-run__2.38.00..") == "run%2:38:00::"
     assert one(T.package_stem, "https://x/y/omw-fr-1.4.tar.xz") == "omw-fr" and one(T.package_version, "https://x/y/omw-fr-1.4.tar.xz") == "1.4"
     assert one(T.package_version, "https://x/v2.1/own.xml") == "2.1" and one(T.resource_code, "oewn-2024_1.0") == "oewn"
-    assert one(T.licence_label, "https://creativecommons.org/licenses/by/4.0/") == "CC BY" and one(T.licence_label, None) == "N/A"
+    for url, label in (
+        ("https://creativecommons.org/licenses/by/4.0/", "CC BY 4.0"), ("https://creativecommons.org/licenses/by-sa/3.0/", "CC BY-SA 3.0"), ("https://creativecommons.org/licenses/by/2.0/", "CC BY"),
+        ("https://opensource.org/licenses/Apache-2.0", "Apache 2.0"), ("http://www.cecill.info/x", "CeCILL-C"), ("WordNet", "WordNet"), ("", "N/A"), (None, "N/A"), ("permitted use", "permitted use"),
+    ):
+        assert one(T.licence_label, url) == label
     assert one(T.thousands, "1234567") == "1,234,567" and one(T.thousands, None) == "---"
     assert one(T.citation_html, "Doe. `Site <http://x>`_. In *Proc*.") == 'Doe. <a href="http://x">Site</a>. In <em>Proc</em>.'
     assert one(lambda c: T.contains_ascii(c, "A%_"), "xa%_y") and not one(lambda c: T.contains_ascii(c, "a%"), "abc")
