@@ -94,7 +94,7 @@ def cyclic_nodes(spark: SparkSession, edges: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "cycles")
     left, size = core(edges, scratch)
     if size > KERNEL_EDGES:
-        return closure_components(spark, left)
+        return coloured_components(spark, left)
 
     def run(batches):
         import pyarrow as pa
@@ -107,21 +107,43 @@ def cyclic_nodes(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return left.select(F.col("source").cast("long"), F.col("target").cast("long")).coalesce(1).mapInArrow(run, "node long, component long")
 
 
-def closure_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """The same by reachability doubling, for cores too large for one task."""
-    scratch = Scratch(spark, "closure")
-    reach = scratch.cut(edges.select("source", "target").distinct())
-    size = reach.count()
-    while True:
-        step = reach.select(F.col("source").alias("a"), F.col("target").alias("m")).join(reach.select(F.col("source").alias("m"), F.col("target").alias("b")), "m")
-        after = scratch.cut(reach.unionByName(step.select(F.col("a").alias("source"), F.col("b").alias("target"))).distinct())
-        scratch.drop(reach)
-        reach, new = after, after.count()
-        if new == size:
-            break
-        size = new
-    mutual = reach.join(reach.select(F.col("source").alias("target"), F.col("target").alias("source")), ["source", "target"], "left_semi")
-    return mutual.groupBy(F.col("source").cast("long").alias("node")).agg(F.min("target").cast("long").alias("component"))
+def coloured_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """The same in joins alone, for cores too large for one task: colouring forward, searching back.
+
+    Every node takes the smallest node that reaches it as its colour. What reaches that node back within its colour is its
+    component, which is taken out, and so on with the rest, without what has come to lie on no cycle. Each round is a
+    map-side-combined minimum or a semi-join over edges; nothing is ever larger than the edges.
+    """
+    scratch = Scratch(spark, "colours")
+    found = None
+    left, size = core(edges, scratch)
+    while size:
+        colours = scratch.cut(left.select(F.col("source").alias("node")).unionByName(left.select(F.col("target").alias("node"))).distinct().select("node", F.col("node").alias("colour")))
+        changed = True
+        while changed:
+            come = left.join(colours, F.col("source") == F.col("node")).select(F.col("target").alias("node"), "colour")
+            after = colours.unionByName(come).groupBy("node").agg(F.min("colour").alias("least"))
+            after = scratch.cut(after.join(colours, "node").select("node", F.col("least").alias("colour"), (F.col("least") < F.col("colour")).alias("moved")))
+            changed = not after.filter("moved").isEmpty()
+            scratch.drop(colours)
+            colours = after.drop("moved")
+        of = lambda end: colours.select(F.col("node").alias(end), F.col("colour").alias(f"{end}_colour"))
+        inner = scratch.cut(left.join(of("source"), "source").join(of("target"), "target").filter("source_colour = target_colour").select("source", "target", F.col("source_colour").alias("colour")))
+        members = scratch.cut(colours.filter("node = colour"))
+        front = members
+        while not front.isEmpty():
+            back = inner.join(front.select(F.col("node").alias("target"), "colour"), ["target", "colour"]).select(F.col("source").alias("node"), "colour").distinct()
+            front = scratch.cut(back.join(members, ["node", "colour"], "left_anti"))
+            members = scratch.cut(members.unionByName(front))
+        # A colour's own node is on a cycle only if it has company or a loop.
+        loops = inner.filter("source = target").select("colour")
+        many = members.groupBy("colour").agg(F.count("*").alias("n")).filter("n > 1").select("colour").unionByName(loops).distinct()
+        cyclic = scratch.cut(members.join(many, "colour", "left_semi").select(F.col("node").cast("long").alias("node"), F.col("colour").cast("long").alias("component")))
+        found = cyclic if found is None else found.unionByName(cyclic)
+        gone = members.select(F.col("node").alias("_node"))
+        rest = left.join(gone, F.col("source") == F.col("_node"), "left_anti").join(gone, F.col("target") == F.col("_node"), "left_anti")
+        left, size = core(rest, scratch)
+    return spark.createDataFrame([], "node long, component long") if found is None else found
 
 
 def cycle_edges(spark: SparkSession, edges: DataFrame) -> DataFrame:
