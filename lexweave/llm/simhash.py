@@ -185,8 +185,12 @@ def shards(spark: SparkSession, points: DataFrame, scratch: Scratch) -> DataFram
             done = light if done is None else done.unionByName(light)
             placed = placed.join(heavy, placed["shard"] == heavy["_shard"]).drop("_shard")
         ways = [(f, m, f & ~m) for f in known for m in blocks(f % (1 << 64))]
-        ways = spark.createDataFrame(ways, "_free long, mask long, left long")
-        split = placed.join(F.broadcast(ways), F.col("free") == F.col("_free"))
+        if level == 1:
+            way = F.explode(F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(rest).cast("long").alias("left")) for _, m, rest in ways]))
+            split = placed.withColumn("way", way).select("shard", "fp", "id", "way.mask", "way.left")
+        else:
+            ways = spark.createDataFrame(ways, "_free long, mask long, left long")
+            split = placed.join(F.broadcast(ways), F.col("free") == F.col("_free"))
         shard = F.xxhash64("shard", _distances(F.col("mask"), points_used if level == 1 else len(VANTAGE)))
         placed = scratch.cut(split.select(shard.alias("shard"), F.col("left").alias("free"), "fp", "id"))
         most = SHARD_MOST
