@@ -189,7 +189,7 @@ def test_registered_tables_join_without_a_shuffle(spark, merged):
 
 def test_latex_and_display(spark):
     rows = [{"code": "a_b", "n": 1234567, "x": None}]
-    assert export.latex_table(rows, ["code", "n", "x"]) == "\\begin{tabular}{lrr}\ncode & n & x \\\\ \\hline\na\\_b & 1,234,567 & --- \\\\\n\\end{tabular}\n"
+    assert export.latex_table(rows, ["code", "n", "x"]) == "\\begin{tabular}{lrr}\ncode & n & x \\\\ \\hline\na\\_b & 1{,}234{,}567 & --- \\\\\n\\end{tabular}\n"
 
 
 def test_many_sentences_in_another_order_align():
