@@ -14,7 +14,7 @@ passage of 51 words holds LEAST words between its anchors in 99 of 100 cases, on
 its edges may be left.
 
 Components of the links are removal clusters: of each, the paragraph or piece that comes first in (doc_id, text hash, first
-word) stays and the others go. A document's removals are merged to spans of words. A repeat of under LEAST words that is
+word) stays and the others go. A cluster inside one document is left alone: repeats are what documents share. A document's removals are merged to spans of words. A repeat of under LEAST words that is
 not a whole text is listed (short) and stays in place: a phrase, not a passage.
 
 Buckets never become all pairs. Buckets with the same members are one. A bucket of up to GROUP classes is searched in
@@ -343,7 +343,7 @@ def class_links(spark: SparkSession, docs: DataFrame, every: DataFrame, scratch:
 
 
 def occurrences(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(d, h, s, e, full, component, keep) of every line and piece that has a copy; keep = (d, h, s, e) of the one that stays;
+    """(d, h, s, e, full, component, keep) of every line and piece that has a copy in another document; keep = (d, h, s, e) of the one that stays;
     full: part of a repeat of LEAST words or more, or of a whole text."""
     scratch = Scratch(spark, "paragraphs")
     banded = scratch.cut(paragraph_table(docs))
@@ -362,7 +362,9 @@ def occurrences(spark: SparkSession, docs: DataFrame) -> DataFrame:
     of = of.withColumn("full", (words >= LEAST) | (words == F.col("n"))).drop("run", "n")
     of = scratch.cut(of)
     scratch.drop(every)
-    first = scratch.cut(of.groupBy("component").agg(F.min(F.struct("d", "h", "s", "e")).alias("keep"), F.count("*").alias("rows")))
+    # What repeats inside one document only is its own style, not a copy.
+    first = of.groupBy("component").agg(F.min(F.struct("d", "h", "s", "e")).alias("keep"), F.max(F.struct("d", "h")).alias("last"), F.count("*").alias("rows"))
+    first = scratch.cut(first.filter((F.col("last.d") != F.col("keep.d")) | (F.col("last.h") != F.col("keep.h"))).drop("last"))
     return scratch.cut(join_counted(of, first, "component", "rows"))
 
 

@@ -66,7 +66,9 @@ def plain_clusters(rows):
 
 def plain_verdicts(rows):
     """doc -> (removed words, documents that hold what stays)."""
-    keep = plain_clusters(rows)
+    keep, docs = plain_clusters(rows), {}
+    for k, first in keep.items():
+        docs.setdefault(first, set()).add(k[1])
     gone, of = {d: set() for d, _ in rows}, {d: set() for d, _ in rows}
     for d, t in rows:
         runs = [[x] for x in plain_lines(t) if (False, d, *x) in keep]
@@ -82,7 +84,7 @@ def plain_verdicts(rows):
             for x in run if n >= LEAST or n == len((t or "").split()) else []:
                 for piece in (False, True):
                     first = keep.get((piece, d, *x))
-                    if first and first[1:] != (d, *x):
+                    if first and first[1:] != (d, *x) and len(docs[first]) > 1:
                         gone[d] |= set(range(*x))
                         of[d].add(first[1])
     return gone, of
