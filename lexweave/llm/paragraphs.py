@@ -289,7 +289,9 @@ def class_links(spark: SparkSession, docs: DataFrame, every: DataFrame, scratch:
     all_members, members = members, scratch.cut(members.join(sizes, F.col("bucket") == F.col("_bucket")).select("bucket", "id", "n", "lo"))
     scratch.drop(all_members)
     wanted = members.select(F.col("id").alias("_id")).distinct()
-    need = every.select("id", "d", "h", "s", "e").join(wanted, F.col("_id") == F.col("id")).groupBy("id").agg(F.min(F.struct("d", "h", "s", "e")).alias("x"))
+    # One place a class, found before the join: a frequent line is then one row. Only lines have bands.
+    places = every.filter("NOT piece").groupBy("id").agg(F.min(F.struct("d", "h", "s", "e")).alias("x"))
+    need = places.join(wanted, F.col("_id") == F.col("id"))
     need = scratch.cut(need.groupBy(F.col("x.d").alias("_d"), F.col("x.h").alias("_h")).agg(F.collect_list(F.struct("x.s", "x.e", "id")).alias("need")))
     found = docs.select(doc_key().alias("d"), F.xxhash64("text").alias("h"), "text").join(need, (F.col("d") == F.col("_d")) & (F.col("h") == F.col("_h"))).select("text", "need")
 
